@@ -1,0 +1,14 @@
+"""Queries over the given tables with their SQL oracles."""
+
+
+def load_all():
+    import importlib
+    from checks import registry
+    for section in ("tables", "cleaning", "policy", "splitting", "features", "metrics", "thresholds",
+                    "risk", "profiling", "scoring", "models", "calibration", "explanation"):
+        try:
+            importlib.import_module(f"checks.section_{section}")
+        except ModuleNotFoundError as error:
+            if f"section_{section}" not in str(error):
+                raise
+    return registry.QUERIES, registry.ORACLES

@@ -232,11 +232,12 @@ def cleaning_summary(raw: DataFrame, reference_date: str | None = REFERENCE_DATE
     has_key = int(policy.KEY in raw.columns)
     counted = raw.agg(F.count(F.lit(1)).alias("all_rows"), F.count(target).alias("kept"),
                       F.avg(target).alias("rate"))
+
+    def stage(name: str, rows: str, width: int, rate: Column) -> Column:
+        return F.struct(F.lit(name).alias("stage"), F.col(rows).alias("rows"),
+                        F.lit(width).cast("bigint").alias("columns"), rate.alias("default_rate"))
+
     return counted.select(F.inline(F.array(
-        F.struct(F.lit("raw").alias("stage"), F.col("all_rows").alias("rows"),
-                 F.lit(len(raw.columns) - has_key).cast("bigint").alias("columns"),
-                 F.lit(None).cast("double").alias("default_rate")),
-        F.struct(F.lit("labelled"), F.col("kept"),
-                 F.lit(len(raw.columns) + 1 - has_key).cast("bigint"), F.col("rate")),
-        F.struct(F.lit("cleaned"), F.col("kept"),
-                 F.lit(prepared_columns - has_key).cast("bigint"), F.col("rate")))))
+        stage("raw", "all_rows", len(raw.columns) - has_key, F.lit(None).cast("double")),
+        stage("labelled", "kept", len(raw.columns) + 1 - has_key, F.col("rate")),
+        stage("cleaned", "kept", prepared_columns - has_key, F.col("rate")))))
