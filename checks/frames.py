@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.loan_sql import RAW
 from creditloom.operators import cleaning, splitting
+from creditloom.session import materialise
 from creditloom.sources.loan_view import (COLUMNS, REFERENCE_DATE, TRAIN_END, VALIDATION_END, loan_view)
 
 CUTOFFS = splitting.Cutoffs(TRAIN_END, VALIDATION_END)
@@ -31,7 +32,8 @@ def prepared(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean(loan_view(spark, folder), REFERENCE_DATE)
+    """Cleaned loans; the raw table is joined together and stored once beforehand."""
+    return cleaning.clean(materialise(loan_view(spark, folder), "raw"), REFERENCE_DATE)
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -210,8 +210,8 @@ def e21(spark, d):
 
 @check("e22_label_index", P + """,
 c AS (SELECT DISTINCT emp_title AS label FROM fit WHERE is_fit AND emp_title IS NOT NULL),
-i AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS at FROM c)
-SELECT loan_id, CAST(coalesce(at, 0) AS FLOAT) AS emp_title FROM fit LEFT JOIN i ON emp_title = label""")
+i AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS place FROM c)
+SELECT loan_id, CAST(coalesce(place, 0) AS FLOAT) AS emp_title FROM fit LEFT JOIN i ON emp_title = label""")
 def e22(spark, d):
     df = _fit_rows(spark, d, "emp_title")
     indexes = encoding.label_indexes(df.filter("is_fit"), ["emp_title"])
