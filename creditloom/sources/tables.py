@@ -94,7 +94,7 @@ def write_small_csv(df: DataFrame, path: str) -> None:
 
 def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
     """A full-size CSV export, one file per task."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').option(
+    X.option(
         "compression", compression).csv(path)
 
 
