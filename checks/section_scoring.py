@@ -84,7 +84,8 @@ def f3(spark, d):
 
 @check("f4_decide")
 def f4(spark, d):
-    return scoring.score_applications(applications(spark, d), learned.logistic(spark, d), learned.encodings(spark, d))[0]
+    out = scoring.score_applications(applications(spark, d), learned.logistic(spark, d), learned.encodings(spark, d))
+    return out.withColumn("violations", F.array_join("violations", "; "))
 
 
 @check("f5_score_table")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from creditloom import policy
 from creditloom.functions.risk import risk_band
-from creditloom.operators.contract import fill_defaults, split_valid
+from creditloom.operators.contract import add_violations, fill_defaults
 from creditloom.operators.encoding import Encodings
 from creditloom.operators.features import build_features
 
@@ -76,15 +76,26 @@ def score_table(df: DataFrame, model: ScoringModel, encodings: Encodings) -> Dat
     return probability.withColumns(decisions(F.col("default_probability"), model.threshold))
 
 
-def score_applications(df: DataFrame, model: ScoringModel, encodings: Encodings) -> tuple[DataFrame, DataFrame]:
-    """Validate, fill, score: (responses, rejects)."""
-    valid, rejects = split_valid(df)
-    scored = score_table(fill_defaults(valid), model, encodings)
-    responses = scored.select(
+def judge_and_score(df: DataFrame, model: ScoringModel, encodings: Encodings) -> DataFrame:
+    """Validate, fill and score in one pass; rejected rows keep their reasons and get no decision.
+
+    Validity is carried as a column rather than filtered on: a filter over all
+    contract rules below this many projections makes Catalyst's constraint
+    propagation explode, and it would read the source twice for two outputs.
+    """
+    scored = score_table(fill_defaults(add_violations(df)), model, encodings)
+    fine = F.size("violations") == 0
+    return scored.withColumns({c: F.when(fine, F.col(c)) for c in (
+        "default_probability", "prediction", "risk_tier")})
+
+
+def score_applications(df: DataFrame, model: ScoringModel, encodings: Encodings) -> DataFrame:
+    """One response per application (F4): a decision, or the reasons for its rejection."""
+    judged = judge_and_score(df, model, encodings)
+    return judged.select(
         policy.KEY, F.round("default_probability", 6).alias("default_probability"), "prediction",
         F.lit(float(model.threshold)).alias("threshold"), F.col("risk_tier").alias("risk_label"),
-        F.lit(model.version).alias("model_version"))
-    return responses, rejects
+        F.lit(model.version).alias("model_version"), "violations")
 
 
 def batch_kpis(scored: DataFrame) -> DataFrame:

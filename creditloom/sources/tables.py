@@ -93,9 +93,10 @@ def write_small_csv(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
-    """A full-size CSV export, one file per task."""
-    X.option(
-        "compression", compression).csv(path)
+    """A full-size CSV export, one file per task; text keeps its outer blanks."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("compression", compression).csv(path))
 
 
 def write_json(df: DataFrame, path: str) -> None:

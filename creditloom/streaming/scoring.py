@@ -8,12 +8,11 @@ where the last one stopped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from creditloom.operators.contract import add_violations, application_schema, fill_defaults
+from creditloom.operators.contract import application_schema
 from creditloom.operators.encoding import Encodings
-from creditloom.operators.scoring import ScoringModel, score_table
+from creditloom.operators.scoring import ScoringModel, judge_and_score
 
 
 def application_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
@@ -29,9 +28,6 @@ def score_stream(applications: DataFrame, model: ScoringModel, encodings: Encodi
     Valid and rejected rows go through one sink, told apart by ``violations``,
     so the source is read once.
     """
-    judged = add_violations(applications)
-    fine = F.size("violations") == 0
-    scored = score_table(fill_defaults(judged), model, encodings)
-    gated = scored.withColumns({c: F.when(fine, F.col(c)) for c in ("default_probability", "prediction", "risk_tier")})
-    return (gated.writeStream.format("parquet").outputMode("append").option("path", out)
+    judged = judge_and_score(applications, model, encodings)
+    return (judged.writeStream.format("parquet").outputMode("append").option("path", out)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
