@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from creditloom import policy
 from creditloom.functions import bins
-from creditloom.operators.features import correlation_with_target
+from creditloom.operators.features import correlation_with_target, pearson
 from creditloom.operators.quantiles import exact_quantiles
 
 # What the numeric summary reports.
@@ -79,19 +79,18 @@ def missing_table(df: DataFrame, columns: Sequence[str] | None = None, above: fl
 def describe(df: DataFrame, columns: Sequence[str],
              quantiles: Sequence[float] = SUMMARY_QUANTILES) -> DataFrame:
     """Count, mean, sample deviation, range and exact quantiles (M2)."""
-    aggs = []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    row = df.agg(*aggs).first()
+    x = F.col("value")
+    moments = {r["feature"]: r for r in
+               _long(df, columns, lambda c: F.col(c).cast("double")).groupBy("feature")
+               .agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                    F.min(x).alias("low"), F.max(x).alias("high")).collect()}
     found = exact_quantiles(df.select(*[F.col(c).cast("double").alias(c) for c in columns]),
                             {c: quantiles for c in columns},
-                            {c: row[f"n{i}"] for i, c in enumerate(columns)})
+                            {c: moments[c]["n"] if c in moments else 0 for c in columns})
     names = [f"p{round(q * 100)}" for q in quantiles]
-    rows = [(c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"],
-             *[found[c][q].value if c in found else None for q in quantiles], row[f"hi{i}"])
-            for i, c in enumerate(columns)]
+    rows = [(c, m["n"], m["mean"], m["std"], m["low"],
+             *[found[c][q].value if c in found else None for q in quantiles], m["high"])
+            for c, m in moments.items()]
     schema = T.StructType([T.StructField("feature", T.StringType()), T.StructField("count", T.LongType()),
                            *[T.StructField(n, T.DoubleType()) for n in ("mean", "std", "min", *names, "max")]])
     return df.sparkSession.createDataFrame(rows, schema)
@@ -178,16 +177,11 @@ def top_correlates(df: DataFrame, columns: Sequence[str], label: str = policy.TA
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Lower triangle of the correlation matrix (M10), pairwise complete rows."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        varied = ((F.min(F.when(both, x)) < F.max(F.when(both, x)))
-                  & (F.min(F.when(both, y)) < F.max(F.when(both, y))))
-        aggs.append(F.when(varied, F.corr(x, y)).alias(f"r{i}"))
-    return df.agg(*aggs).select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("feature"), F.lit(b).alias("other"), F.col(f"r{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)])))
+    entries = F.array(*[F.struct(F.lit(a).alias("feature"), F.lit(b).alias("other"),
+                                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                        for a, b in pairs])
+    return (df.select(F.inline(entries)).groupBy("feature", "other")
+            .agg(pearson(F.col("x"), F.col("y")).alias("correlation")))
 
 
 def rate_by_bin(df: DataFrame, column: str, n_bins: int = 20, label: str = policy.TARGET) -> DataFrame:
@@ -267,11 +261,8 @@ def density_by_class(df: DataFrame, columns: Sequence[str], label: str = policy.
 
 def skewness_ranking(df: DataFrame, columns: Sequence[str], top: int = 5) -> DataFrame:
     """Most skewed columns, bias-corrected."""
-    aggs = []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        n = F.count(x).cast("double")
-        fair = F.sqrt(n * (n - 1)) / (n - 2) * F.skewness(x)
-        aggs.append(F.when((F.count(x) > 2) & (F.min(x) < F.max(x)), fair).alias(f"k{i}"))
-    ranked = _stack(df.agg(*aggs), columns, lambda i, c: [F.col(f"k{i}").alias("skewness")])
-    return ranked.orderBy(F.desc_nulls_last("skewness"), "feature").limit(top)
+    x = F.col("value")
+    n = F.count(x).cast("double")
+    fair = F.when((F.count(x) > 2) & (F.min(x) < F.max(x)), F.sqrt(n * (n - 1)) / (n - 2) * F.skewness(x))
+    return (_long(df, columns, lambda c: F.col(c).cast("double")).groupBy("feature").agg(fair.alias("skewness"))
+            .orderBy(F.desc_nulls_last("skewness"), "feature").limit(top))

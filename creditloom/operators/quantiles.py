@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FINISH_ROWS = 50_000
+FINISH_VALUES = 4_000_000      # values that all finishing states together may hold
 SKETCH_ACCURACY = 10_000
 
 
@@ -34,6 +34,10 @@ class _Search:
     high: float | None = None
     value: float | None = None
 
+    @property
+    def interval(self) -> tuple:
+        return self.column, self.low, self.high
+
     def inside(self) -> Column:
         value = F.col(self.column)
         keep = value.isNotNull()
@@ -41,7 +45,15 @@ class _Search:
             keep = keep & (value > F.lit(self.low))
         if self.high is not None:
             keep = keep & (value < F.lit(self.high))
-        return keep
+        return F.when(keep, value.cast("double"))
+
+
+def _by_interval(searches: list[_Search]) -> list[list[_Search]]:
+    """Ranks searched in the same interval share one state."""
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault(s.interval, []).append(s)
+    return list(groups.values())
 
 
 def _fraction(rank: int, rows: int) -> float:
@@ -55,71 +67,70 @@ def _fraction(rank: int, rows: int) -> float:
     return min(max(f, 0.0), 1.0)
 
 
-def _finish(df: DataFrame, searches: list[_Search]) -> None:
-    """Solve searches whose interval holds few rows, one state per interval."""
-    ranges: dict[tuple, list[_Search]] = {}
-    for s in searches:
-        ranges.setdefault((s.column, s.low, s.high), []).append(s)
-    groups = list(ranges.values())
-    aggs = [F.percentile(F.when(g[0].inside(), F.col(g[0].column).cast("double")),
-                         F.array(*[F.lit(_fraction(s.rank, s.rows)) for s in g])).alias(f"g{i}")
-            for i, g in enumerate(groups)]
-    row = df.agg(*aggs).first()
+def _finish(df: DataFrame, groups: list[list[_Search]]) -> None:
+    """Solve the searches of intervals that hold few rows."""
+    row = df.agg(*[F.percentile(g[0].inside(), F.array(*[F.lit(_fraction(s.rank, s.rows)) for s in g]))
+                   .alias(f"g{i}") for i, g in enumerate(groups)]).first()
     for i, group in enumerate(groups):
         for s, value in zip(group, row[i]):
             s.value = float(value)
 
 
-def _narrow(df: DataFrame, searches: list[_Search]) -> None:
+def _narrow(df: DataFrame, groups: list[list[_Search]]) -> None:
     """Shrink every search interval to the part that holds its rank."""
     slack = 2.0 / SKETCH_ACCURACY
     sketch = []
-    for i, s in enumerate(searches):
-        at = s.rank / max(s.rows - 1, 1)
-        value = F.when(s.inside(), F.col(s.column).cast("double"))
-        sketch.append(F.percentile_approx(
-            value, F.array(F.lit(max(at - slack, 0.0)), F.lit(min(at + slack, 1.0))),
-            F.lit(SKETCH_ACCURACY)).alias(f"s{i}"))
-    bracket = df.agg(*sketch).first()
-
+    for i, g in enumerate(groups):
+        ends = [end for s in g for end in (max(s.rank / max(s.rows - 1, 1) - slack, 0.0),
+                                           min(s.rank / max(s.rows - 1, 1) + slack, 1.0))]
+        sketch.append(F.percentile_approx(g[0].inside(), F.array(*[F.lit(e) for e in ends]),
+                                          F.lit(SKETCH_ACCURACY)).alias(f"s{i}"))
+    found = df.agg(*sketch).first()
+
+    # Each search gets its bracket; searches with equal brackets share one count.
+    brackets: dict[tuple, list[_Search]] = {}
+    for i, g in enumerate(groups):
+        for j, s in enumerate(g):
+            brackets.setdefault((s.interval, found[i][2 * j], found[i][2 * j + 1]), []).append(s)
     counts = []
-    for i, s in enumerate(searches):
-        low, high = bracket[i]
-        value, inside = F.col(s.column), s.inside()
-        for name, test in (("lt", value < F.lit(low)), ("lo", value == F.lit(low)),
-                           ("in", (value > F.lit(low)) & (value < F.lit(high))),
-                           ("hi", value == F.lit(high))):
-            counts.append(F.count_if(inside & test).alias(f"{name}{i}"))
+    for i, ((_, low, high), members) in enumerate(brackets.items()):
+        value = members[0].inside()
+        counts += [F.count_if(value < low).alias(f"lt{i}"), F.count_if(value == low).alias(f"lo{i}"),
+                   F.count_if((value > low) & (value < high)).alias(f"in{i}"),
+                   F.count_if(value == high).alias(f"hi{i}")]
     row = df.agg(*counts).first()
 
-    for i, s in enumerate(searches):
-        low, high = bracket[i]
+    for i, ((_, low, high), members) in enumerate(brackets.items()):
         below, on_low, between = row[f"lt{i}"], row[f"lo{i}"], row[f"in{i}"]
         on_high = 0 if low == high else row[f"hi{i}"]
-        parts = [(below, s.low, low, None), (on_low, low, low, low),
-                 (between, low, high, None), (on_high, high, high, high),
-                 (s.rows - below - on_low - between - on_high, high, s.high, None)]
-        for size, part_low, part_high, exact in parts:
-            if s.rank < size:
-                s.low, s.high, s.rows, s.value = part_low, part_high, size, exact
-                break
-            s.rank -= size
+        for s in members:
+            parts = [(below, s.low, low, None), (on_low, low, low, low), (between, low, high, None),
+                     (on_high, high, high, high),
+                     (s.rows - below - on_low - between - on_high, high, s.high, None)]
+            for size, part_low, part_high, exact in parts:
+                if s.rank < size:
+                    s.low, s.high, s.rows, s.value = part_low, part_high, size, exact
+                    break
+                s.rank -= size
 
 
 def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]],
-                     rows: Mapping[str, int], finish_rows: int = FINISH_ROWS,
+                     rows: Mapping[str, int], finish_values: int = FINISH_VALUES,
                      ) -> dict[tuple[str, int], float]:
     """Exact value at each 0-based rank of the non-null values of each column."""
     searches = {(c, r): _Search(c, r, rows[c]) for c, rs in ranks.items() for r in set(rs)}
     open_ = list(searches.values())
     while open_:
-        small = [s for s in open_ if s.rows <= finish_rows]
+        groups = sorted(_by_interval(open_), key=lambda g: g[0].rows)
+        small, room = [], finish_values
+        while groups and groups[0][0].rows <= room:
+            room -= groups[0][0].rows
+            small.append(groups.pop(0))
         if small:
             _finish(df, small)
-        large = [s for s in open_ if s.value is None]
-        if large:
-            _narrow(df, large)
-        open_ = [s for s in large if s.value is None]
+        if groups:
+            _narrow(df, groups)
+        open_ = [s for s in open_ if s.value is None]
     return {key: s.value for key, s in searches.items()}
 
 
@@ -145,7 +156,7 @@ class Quantile:
 
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]],
                     rows: Mapping[str, int] | None = None,
-                    finish_rows: int = FINISH_ROWS) -> dict[str, dict[float, Quantile]]:
+                    finish_values: int = FINISH_VALUES) -> dict[str, dict[float, Quantile]]:
     """Linear-interpolated quantiles per column; a column without values is left out."""
     if not wanted:
         return {}
@@ -164,7 +175,7 @@ def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]],
             high = min(low + 1, rows[c] - 1)
             places.setdefault(c, {})[q] = (low, high, position - low)
             ranks.setdefault(c, []).extend((low, high))
-    values = order_statistics(df.select(*ranks), ranks, rows, finish_rows)
+    values = order_statistics(df.select(*ranks), ranks, rows, finish_values)
     return {c: {q: Quantile(values[c, low], values[c, high], weight)
                 for q, (low, high, weight) in per.items()}
             for c, per in places.items()}
