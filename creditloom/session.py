@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot never compiles methods above 8000 bytes. A wide loan projection fused into
+    # one method would run interpreted; above this limit Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -13,6 +13,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from creditloom.sources.tables import spread
+
 TRAIN_END = "1999-01-01"
 VALIDATION_END = "2000-01-01"
 REFERENCE_DATE = "2002-01-01"
@@ -133,7 +135,7 @@ def loan_view(spark: SparkSession, folder: str, columns: Iterable[str] | None =
     own, lines = _order_columns(), _line_columns()
     line_needs = {"open_acc" if c == "total_acc" else c for c in wanted} & {*lines}
 
-    out = orders if orders is not None else spark.read.parquet(f"{folder}/orders.parquet")
+    out = orders if orders is not None else spread(spark.read.parquet(f"{folder}/orders.parquet"))
     if any(c in _CUSTOMER or c in _NATION for c in wanted):
         customer = spark.read.parquet(f"{folder}/customer.parquet")
         out = out.join(customer, out.o_custkey == customer.c_custkey, "left")

@@ -52,6 +52,16 @@ def read_raw_csv(spark: SparkSession, path: str, partitions: int | None = None)
     return df.transform(nan_to_null).transform(with_key)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a source that arrives in fewer pieces than half the cores.
+
+    A single small or unsplittable file would otherwise keep everything after it
+    in one task. A source of ordinary size is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One kind of missing value from here on: NULL."""
     return df.withColumns({f.name: F.when(~F.isnan(F.col(f.name)), F.col(f.name))
