@@ -69,7 +69,7 @@ QUERIES = {f.__name__: f for f in (
     op8_quality_outliers, op9_decontamination, op10_jaccard_join)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLES = {
     "op4_chat_format": f"""
@@ -110,7 +110,7 @@ WITH RECURSIVE words AS (
   SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
 items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
 links AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b USING (item)
