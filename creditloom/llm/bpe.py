@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.memo import per_process
+from creditloom.llm.memo import per_process, slices, small_batches
 
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 150_000
+CACHED_PAIRS = 400_000
 #: White space of the vocabulary's own patterns; str.split() takes these and the four separators below.
 _SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -96,7 +97,7 @@ class WordBpe:
             else:
                 # the border pair lies left of b's own merge, so it also wins at the same rank
                 before, b = rank_b + 1, self.made[b][1]
-        if len(self.checked) >= 2_000_000:
+        if len(self.checked) >= CACHED_PAIRS:
             self.checked.clear()
         self.checked[left, right] = verdict
         return verdict
@@ -190,7 +191,7 @@ def _tokenizer(content: str) -> WordBpe:
 def _encoder(shared, with_ids: bool):
     def run(batches):
         encode = _tokenizer(shared.value).encode
-        for batch in batches:
+        for batch in slices(batches):
             counts, ids, shas, decoded = [], [], [], []
             for text in batch.columns[-1].to_pylist():
                 own, back = encode(text)
@@ -214,6 +215,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, with_ids: bool = Fal
 
     A null or empty text has no ids. The vocabulary file is read on the driver and sent once to each executor.
     """
+    small_batches(docs.sparkSession)
     with open(vocabulary_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from creditloom.llm.components import connected_components
 from creditloom.llm.hashing import batch_words, shingle_set
+from creditloom.llm.memo import release, small_batches
 from creditloom.session import materialise
 
 SHINGLE = 5
@@ -38,7 +39,7 @@ PARTS = 64
 SALTS = 8
 #: Rows of a key table (16 bytes each) up to which it is broadcast.
 BROADCAST_ROWS = 1_000_000
-_EMITTED = 200_000
+_EMITTED = 100_000
 
 
 def _as_long(h: np.ndarray) -> np.ndarray:
@@ -47,6 +48,7 @@ def _as_long(h: np.ndarray) -> np.ndarray:
 
 def _count_frequent(batches):
     """(hash, count) of shingles found in at least LOCAL_LEAST texts of one block."""
+    release()
     held, size = [], 0
 
     def flush():
@@ -85,6 +87,7 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 def _profiler(shared, percent: int):
     """One row per text; a set that this task has sent before comes without its prefix."""
     def run(batches):
+        release()
         keys, counts = shared.value
         sent: set[int] = set()
         for batch in batches:
@@ -256,6 +259,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows with the very same set. A null or wordless text has no shingle and is linked with nothing; a row without
     doc_id has a null component_id and links nothing. Rows that repeat a doc_id are judged each by its own text.
     """
+    small_batches(docs.sparkSession)
     profile = profiles(docs, percent)
     has_id = profile.where("doc_id is not null and sid is not null")
     classes = materialise(has_id.groupBy("sid").agg(

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.memo import per_process
+from creditloom.llm.memo import per_process, slices, small_batches
 from creditloom.llm.sampling import crc32_fold, labelled_sample
 
 #: Labelled texts per language that a dictionary is made from, and its bytes.
@@ -78,7 +78,7 @@ def _predictor(shared):
     def run(batches):
         contents = shared.value
         coders = per_process("language", contents, lambda: _coders(contents))
-        for batch in batches:
+        for batch in slices(batches):
             found = [judge(text, coders) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
@@ -93,6 +93,7 @@ def identify(docs: DataFrame, folds: int = 5, held: int = 0, fit_texts: int = FI
     Dictionaries come from at most ``fit_texts`` texts a language outside the held-out fold. A null, empty or letterless
     text gives ``und`` with score 0, as does everything if no language can be learned. Ties go to the first name.
     """
+    small_batches(docs.sparkSession)
     fold = crc32_fold("doc_id", folds)
     sample = labelled_sample(docs, docs.where(fold != held).select("doc_id", F.col("lang").alias("label")), fit_texts)
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries(sample))

@@ -8,7 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CACHED_PIECES = 300_000
+from creditloom.llm.memo import per_process, slices, small_batches
+
+CACHED_PIECES = 200_000
 #: Neighbouring lengths whose sums are taken together before the running sums.
 BLOCK = 1_024
 
@@ -42,8 +44,9 @@ def piece_counter(ranks: bytes, pattern: str):
 
 def _counter(shared):
     def run(batches):
-        count = piece_counter(*shared.value)
-        for batch in batches:
+        rule = shared.value
+        count = per_process("lengths", rule, lambda: piece_counter(*rule))
+        for batch in slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([count(t) if t else 0 for t in batch.columns[-1].to_pylist()], pa.int64())],
                 [*batch.schema.names[:-1], "n_tokens"])
@@ -52,6 +55,7 @@ def _counter(shared):
 
 def token_lengths(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens of every row of ``docs`` (doc_id, text); a null text has 0 tokens."""
+    small_batches(docs.sparkSession)
     with open(ranks_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast((f.read(), pattern))
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_counter(shared), "doc_id long, n_tokens long")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.hashing import batch_words, windows
+from creditloom.llm.memo import release, small_batches
 from creditloom.session import materialise
 
 #: 1: the word counts; 0: it is ignored. Ten words, eight of which are read.
@@ -65,6 +66,7 @@ def _sift_table(seeds: DataFrame, count: int) -> tuple[int, np.ndarray]:
 
 def _sifter(shared):
     def run(batches):
+        release()
         bits, table = shared.value
 
         def marked(at):
@@ -132,6 +134,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and short texts (fewer words than a mask) and rows without doc_id or item_id overlap nothing. Rows that repeat a
     doc_id give one result. Places count words from 0.
     """
+    small_batches(docs.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").alias("item"))
     seeds = materialise(items.mapInArrow(_benchmark_seeds, "seed long, item_id long, item_at long"), "seeds")
     shared = docs.sparkSession.sparkContext.broadcast(_sift_table(seeds, seeds.count()))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from creditloom.llm.memo import per_process
+from creditloom.llm.memo import per_process, slices, small_batches
 from creditloom.llm.sampling import crc32_fold, labelled_sample
 
 #: Labelled texts per class that the model is fitted on.
@@ -32,7 +32,7 @@ LEAST_TEXTS = 3
 LEVEL = 6
 #: Evidence (log of a ratio of rates) below this is noise; above, FREE is taken off.
 LEAST_EVIDENCE, FREE = 1.5, 1.0
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 REJECT = 0.7
 _PUNCTUATION = {ord(c): " " for c in ".,;:!?\"'()[]{}<>*#$%&|/\\=+~^`_"}
 _CARRIER, _END = 4, b" ~~~~~~~~~~~ ;"
@@ -181,7 +181,7 @@ def _scorer(shared, name: str = "score"):
         if model:
             evidence = per_process("toxicity", model, lambda: _Evidence(
                 _Coder(model["toxic"], model["ordinary"]), model["weights"])).__getitem__
-        for batch in batches:
+        for batch in slices(batches):
             scores = [probability(model, sum(map(evidence, words_of(t)))) if model else 0.0
                       for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())],
@@ -201,6 +201,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, rej
 
     A null or empty text has no evidence and gets the lowest score. Without labels of both classes every score is 0.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(toxicity_model(docs, labels, folds, held))
     fold = crc32_fold("doc_id", folds)
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold == held).alias("held_out"), "text")
@@ -210,6 +211,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, rej
 
 def without_toxic(docs: DataFrame, labels: DataFrame, reject: float = REJECT) -> DataFrame:
     """``docs`` without the rows that score ``reject`` or more; the columns stay."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(toxicity_model(docs, labels))
     schema = StructType([*docs.schema.fields, StructField("__score", DoubleType())])
     return (docs.select("*", F.col("text").alias("__text")).mapInArrow(_scorer(shared, "__score"), schema)
