@@ -147,10 +147,11 @@ def _buckets(profile: DataFrame) -> DataFrame:
     whole = within.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = rows.withColumns({
         "leader": F.first("sid").over(whole), "leader_n": F.first("n").over(whole),
-        "leader_pos": F.first("pos").over(whole), "last": F.last("sid").over(whole)})
-    return materialise(marked.where("salt >= 0 or leader <> last")
-                       .select("token", "salt", "sid", "n", "pos", "loose", "leader", "leader_n", "leader_pos")
-                       .dropDuplicates(["token", "sid"]), "buckets")
+        "leader_pos": F.first("pos").over(whole), "last": F.last("sid").over(whole),
+        "before": F.lag("sid").over(within)})  # tasks may send one class's prefix each: the copies are neighbours
+    return materialise(marked.where("salt >= 0 or leader <> last").where("before is null or before <> sid")
+                       .select("token", "salt", "sid", "n", "pos", "loose", "leader", "leader_n", "leader_pos"),
+                       "buckets")
 
 
 def _may_link(n1, p1, n2, p2, percent: int):
@@ -175,11 +176,12 @@ def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
 
 
 def _cross_pairs(buckets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    groups = _small(materialise(groups, "groups"))
     rows = (buckets.select("token", "sid", "n", "pos").join(groups, F.col("sid") == F.col("node"), "left")
             .select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("grp")))
     mixed = (rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
              .where("low <> high").select("token"))
-    open_rows = materialise(rows.join(mixed, "token"), "open")
+    open_rows = materialise(rows.join(_small(materialise(mixed, "mixed")), "token"), "open")
     x = open_rows.select("token", F.col("sid").alias("a"), F.col("n").alias("n1"), F.col("pos").alias("p1"),
                          F.col("grp").alias("g1"))
     y = open_rows.select("token", F.col("sid").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("p2"),
@@ -237,19 +239,17 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
     side = classes.select("sid", "n", "parts")
     left = side.select(F.col("sid").alias("a"), F.col("n").alias("n1"), F.col("parts").alias("c1"))
     right = side.select(F.col("sid").alias("b"), F.col("n").alias("n2"), F.col("parts").alias("c2"))
+    pairs = _small(materialise(pairs, "pairs"))
     rest = materialise(pairs.join(left, "a").join(right, "b").select("a", "b", "n1", "n2", "c1", "c2")
                        .mapInArrow(_suffix_filter(percent), "a long, b long"), "candidates")
     ends = rest.select(F.col("a").alias("sid")).unionByName(rest.select(F.col("b").alias("sid"))).distinct()
     needed = materialise(classes.join(ends, "sid").select(F.col("first_id").alias("doc_id"), "sid"), "needed")
-    if needed.count() <= BROADCAST_ROWS:
-        needed = F.broadcast(needed)
-    sets = materialise(docs.select(F.col("doc_id").cast("long"), "text").join(needed, "doc_id")
-                       .select("text", "sid").mapInArrow(_sets, "sid long, items binary")
-                       .dropDuplicates(["sid"]), "sets")
+    sets = materialise(docs.select(F.col("doc_id").cast("long"), "text").join(_small(needed), "doc_id")
+                       .select("text", "sid").mapInArrow(_sets, "sid long, items binary"), "sets")
     x = sets.select(F.col("sid").alias("a"), F.col("items").alias("x"))
     y = sets.select(F.col("sid").alias("b"), F.col("items").alias("y"))
-    return materialise(rest.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-                       .mapInArrow(_verifier(percent), "a long, b long"), "links")
+    return materialise(_small(rest).join(x, "a").join(y, "b").select("a", "b", "x", "y")
+                       .mapInArrow(_verifier(percent), "a long, b long").distinct(), "links")
 
 
 def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
