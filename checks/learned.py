@@ -40,7 +40,7 @@ def features(spark, d):
 
 
 def columns(spark, d):
-    return policy.feature_columns(features(spark, d).columns, ["issue_d", "split"])
+    return policy.having("feature", features(spark, d).columns, ["issue_d", "split"])
 
 
 def train_rows(spark, d):

@@ -201,7 +201,7 @@ def features_of(spark, d):
     return features.engineer_features(df, check=False)[0]
 
 
-@check("e21_validate_features")
+@check("e21_validate_features", P + " SELECT count(*) AS clean_rows FROM fit")
 def e21(spark, d):
     out = features_of(spark, d)
     features.validate_features(out)

@@ -116,6 +116,18 @@ def h10(spark, d):
                    "threshold", "precision", "recall", "specificity", "f1")
 
 
+@check("h10_unscored", T + """, grid AS (SELECT unnest([0.1, 0.25, 0.5]::DOUBLE[]) AS t),
+l AS (SELECT "default" AS y, CASE WHEN loan_id % 7 <> 0 THEN pd END AS p FROM test)
+SELECT t AS threshold, count(*) FILTER (p >= t AND y = 1) AS tp, count(*) FILTER (p >= t AND y = 0) AS fp,
+  count(*) FILTER (p < t AND y = 1) AS fn, count(*) FILTER (p < t AND y = 0) AS tn,
+  count(*) FILTER (p IS NULL) AS unscored FROM grid CROSS JOIN l GROUP BY t""")
+def h10_unscored(spark, d):
+    df = frames.test_scores(spark, d)
+    df = df.withColumn("pd", F.when(F.col("loan_id") % 7 != 0, F.col("pd")))
+    swept = metrics.threshold_sweep(df, [0.1, 0.25, 0.5], count_unscored=True)
+    return swept.select("threshold", "tp", "fp", "fn", "tn", "unscored")
+
+
 @check("h11_classification_report", T + f""", c AS ({counts_sql('0.25::DOUBLE')}),
 r AS (SELECT 'paid' AS class, {_over('tn', 'tn + fn')} AS precision, {_over('tn', 'tn + fp')} AS recall,
         {_over('2 * tn', '2 * tn + fn + fp')} AS f1, tn + fp AS support FROM c

@@ -31,13 +31,13 @@ def _table(spark, d, chosen, word):
 @check("c1_feature_columns", f"WITH {frames.RAW} {_verdicts(_FEATURES, 'is_feature')}")
 def c1(spark, d):
     names = frames.raw(spark, d, *_SHOWN).columns
-    return _table(spark, d, set(policy.feature_columns(names)), "is_feature")
+    return _table(spark, d, set(policy.having("feature", names)), "is_feature")
 
 
 @check("c2_leakage_present", f"WITH {frames.RAW} {_verdicts(_LEAKS, 'is_leakage')}")
 def c2(spark, d):
     names = frames.raw(spark, d, *_SHOWN).columns
-    return _table(spark, d, set(policy.leakage_columns_present(names)), "is_leakage")
+    return _table(spark, d, set(policy.having("leakage", names)), "is_leakage")
 
 
 def _refused(action) -> bool:

@@ -58,13 +58,24 @@ def k4(spark, d):
 
 
 @check("k5_band_distribution", T + f""", b AS (SELECT {BAND} AS risk_band, ead, pd * 0.45 * ead AS el FROM test),
-spine AS (SELECT * FROM (VALUES (0, 'Low'), (1, 'Medium'), (2, 'High'), (3, 'Very High')) v(position, risk_band))
-SELECT position, risk_band, count(ead) AS loans, round(coalesce(sum(ead), 0), 3) AS exposure, round(coalesce(sum(el), 0), 3) AS expected_loss
-FROM spine LEFT JOIN b USING (risk_band) GROUP BY position, risk_band""")
+spine AS (SELECT * FROM (VALUES (0, 'Low'), (1, 'Medium'), (2, 'High'), (3, 'Very High'), (4, 'Unknown')) v(position, risk_band))
+SELECT position, spine.risk_band AS risk_band, count(b.risk_band) AS loans, round(coalesce(sum(ead), 0), 3) AS exposure, round(coalesce(sum(el), 0), 3) AS expected_loss
+FROM spine LEFT JOIN b ON spine.risk_band = b.risk_band GROUP BY position, spine.risk_band""")
 def k5(spark, d):
     return rounded(risk.band_distribution(frames.test_scores(spark, d)), 3, "exposure", "expected_loss")
 
 
+@check("k5_unknown", T + f""", g AS (SELECT ead, CASE WHEN loan_id % 7 <> 0 THEN pd END AS pd FROM test),
+b AS (SELECT {BAND} AS risk_band, ead, pd * 0.45 * ead AS el FROM g),
+spine AS (SELECT * FROM (VALUES (0, 'Low'), (1, 'Medium'), (2, 'High'), (3, 'Very High'), (4, 'Unknown')) v(position, risk_band))
+SELECT position, spine.risk_band AS risk_band, count(b.risk_band) AS loans, round(coalesce(sum(ead), 0), 3) AS exposure,
+  round(coalesce(sum(el), 0), 3) AS expected_loss
+FROM spine LEFT JOIN b ON spine.risk_band = b.risk_band GROUP BY position, spine.risk_band""")
+def k5_unknown(spark, d):
+    df = frames.test_scores(spark, d).withColumn("pd", F.when(F.col("loan_id") % 7 != 0, F.col("pd")))
+    return rounded(risk.band_distribution(df), 3, "exposure", "expected_loss")
+
+
 @check("k6_portfolio_view", _table("[0.275::DOUBLE]", "0.6"))
 def k6(spark, d):
     return _rounded(risk.portfolio_view(frames.test_scores(spark, d), 0.275, 0.6))

@@ -12,6 +12,17 @@ def finite_or(value: Column, fill: float) -> Column:
     return F.when(bad, F.lit(float(fill))).otherwise(value)
 
 
+def missing(value: Column) -> Column:
+    """NULL or NaN."""
+    return value.isNull() | F.isnan(value)
+
+
+def present(value: Column, what: str) -> Column:
+    """The value; the job fails where it is NULL or NaN, so that no row goes missing unseen."""
+    return F.when(missing(value), F.raise_error(F.lit(
+        f"{what} is missing in some rows: score them, leave them out or count them apart"))).otherwise(value)
+
+
 def safe_div(top: Column, bottom: Column, fill: float = 0.0) -> Column:
     """Division that never raises; an undefined result becomes ``fill``."""
     return finite_or(F.try_divide(top.cast("double"), bottom.cast("double")), fill)

@@ -24,9 +24,14 @@ class Field:
     def required(self) -> bool:
         return self.default is None
 
+    def value(self) -> Column:
+        """The field's column, NaN taken as missing."""
+        column = F.col(self.name)
+        return column if self.text else F.when(~F.isnan(column), column)
+
     def rules(self) -> list[tuple[Column, str]]:
-        """(is broken, message) pairs; a missing optional field breaks nothing."""
-        value = F.col(self.name)
+        """(is broken, message) pairs; a missing optional field breaks nothing, and NaN is missing."""
+        value = self.value()
         out = []
         if self.required:
             out.append((value.isNull(), "required"))
@@ -107,5 +112,5 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     for field in CONTRACT:
         if not field.required:
             default = F.lit(field.default)
-            new[field.name] = F.coalesce(F.col(field.name), default) if field.name in have else default
+            new[field.name] = F.coalesce(field.value(), default) if field.name in have else default
     return df.withColumns(new)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from creditloom.functions import bins
-from creditloom.functions.numeric import ratio
+from creditloom.functions.numeric import missing, present, ratio
 from creditloom.operators.prefix import score_table
 from creditloom.operators.quantiles import exact_quantiles
 
@@ -72,9 +72,9 @@ def log_loss_term(p: Column, y: Column, clip: float = EPSILON) -> Column:
 
 def probability_metrics(df: DataFrame, score: str = "pd", label: str = "default",
                         group: str | None = None, clip: float = EPSILON) -> DataFrame:
-    """Brier score and log loss (H3, H4)."""
+    """Brier score and log loss (H3, H4). A NULL or NaN score fails the job."""
     keys = [group] if group else []
-    p, y = F.col(score), F.col(label)
+    p, y = present(F.col(score).cast("double"), f"Score {score}"), F.col(label)
     return df.groupBy(*keys).agg(brier_term(p, y).alias("brier"),
                                  log_loss_term(p, y, clip).alias("log_loss"))
 
@@ -113,8 +113,8 @@ def pr_points(df: DataFrame, score: str = "pd", label: str = "default") -> DataF
 
 
 def confusion_at(df: DataFrame, threshold: float, score: str = "pd", label: str = "default") -> DataFrame:
-    """TP, FP, FN, TN when score >= threshold counts as positive (H8)."""
-    hit, y = F.col(score) >= F.lit(float(threshold)), F.col(label)
+    """TP, FP, FN, TN when score >= threshold counts as positive (H8). A NULL or NaN score fails the job."""
+    hit, y = present(F.col(score).cast("double"), f"Score {score}") >= F.lit(float(threshold)), F.col(label)
     return df.agg(F.count_if(hit & (y == 1)).alias("tp"), F.count_if(hit & (y == 0)).alias("fp"),
                   F.count_if(~hit & (y == 1)).alias("fn"), F.count_if(~hit & (y == 0)).alias("tn"))
 
@@ -138,31 +138,40 @@ def metrics_at(df: DataFrame, threshold: float, score: str = "pd", label: str =
 
 
 def threshold_sweep(df: DataFrame, grid: Sequence[float] | None = None, score: str = "pd",
-                    label: str = "default", extra: dict[str, Column] | None = None) -> DataFrame:
+                    label: str = "default", extra: dict[str, Column] | None = None,
+                    count_unscored: bool = False) -> DataFrame:
     """Confusion counts and rates at every grid point.
 
     Each row finds its grid interval by binary search; the rest is a running
     sum over one row per interval, however many rows came in. ``extra`` adds
-    sums (of columns) over the rows at or above each threshold.
+    sums (of columns) over the rows at or above each threshold. A NULL or NaN
+    score fails the job; with ``count_unscored`` such rows are counted in a
+    column ``unscored`` instead, so that it and the four counts give all rows.
     """
     grid = sorted(grid if grid is not None else bins.linear_grid(*bins.SWEEP_GRID))
     extra = extra or {}
     y = F.col(label)
-    counted = (bins.grid_bucket(df, score, grid, "_b").groupBy("_b")
+    value = F.col(score).cast("double")
+    known = F.when(~missing(value), value) if count_unscored else present(value, f"Score {score}")
+    counted = (bins.grid_bucket(df.withColumn("_s", known), "_s", grid, "_b")
+               .withColumn("_b", F.coalesce("_b", F.lit(-1))).groupBy("_b")
                .agg(F.count_if(y == 1).alias("p"), F.count_if(y == 0).alias("n"),
                     *[F.sum(v).alias(f"x_{c}") for c, v in extra.items()]))
-    spine = df.sparkSession.range(len(grid) + 1).select(F.col("id").cast("int").alias("_b"))
+    spine = df.sparkSession.range(-1, len(grid) + 1).select(F.col("id").cast("int").alias("_b"))
     filled = spine.join(F.broadcast(counted), "_b", "left").na.fill(0)
     at_or_above = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.orderBy(F.desc("_b")).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     points = F.array(*[F.lit(float(t)) for t in grid])
+    scored = F.col("_b") >= 0
     swept = filled.select(
         "_b", F.sum("p").over(at_or_above).alias("tp"), F.sum("n").over(at_or_above).alias("fp"),
-        F.sum("p").over(everything).alias("all_p"), F.sum("n").over(everything).alias("all_n"),
+        F.sum(F.when(scored, F.col("p")).otherwise(0)).over(everything).alias("all_p"),
+        F.sum(F.when(scored, F.col("n")).otherwise(0)).over(everything).alias("all_n"),
+        F.sum(F.when(scored, 0).otherwise(F.col("p") + F.col("n"))).over(everything).alias("unscored"),
         *[F.sum(f"x_{c}").over(at_or_above).alias(c) for c in extra],
         *[F.sum(f"x_{c}").over(everything).alias(f"all_{c}") for c in extra])
-    kept = ["tp", "fp", *extra, *[f"all_{c}" for c in extra]]
+    kept = ["tp", "fp", *extra, *[f"all_{c}" for c in extra], *(["unscored"] if count_unscored else [])]
     return (swept.filter(F.col("_b") > 0)
             .select(F.element_at(points, F.col("_b")).alias("threshold"), *kept,
                     (F.col("all_p") - F.col("tp")).alias("fn"),

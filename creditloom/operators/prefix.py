@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from creditloom.functions.bins import grid_bucket
+from creditloom.functions.numeric import present
 
 SKETCH_ACCURACY = 10_000
 
@@ -39,11 +40,11 @@ def score_table(df: DataFrame, score: str = "pd", label: str = "default",
     """One row per distinct score with what lies at or above it.
 
     Columns: [group], score, pos, neg (at this score), tp, fp (at or above it),
-    positives, negatives (in all).
+    positives, negatives (in all). A NULL or NaN score fails the job.
     """
     edges = range_edges(df, score, ranges or default_ranges(df))
     keys = [group] if group else []
-    counts = (df.select(*keys, F.col(score).cast("double").alias("score"), F.col(label).alias("y"))
+    counts = (df.select(*keys, present(F.col(score).cast("double"), f"Score {score}").alias("score"), F.col(label).alias("y"))
               .groupBy(*keys, "score")
               .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")))
     if edges:

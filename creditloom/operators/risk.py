@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.bins import BUSINESS_THRESHOLDS
-from creditloom.functions.numeric import ratio
+from creditloom.functions.numeric import missing, ratio
 from creditloom.functions.risk import BAND_ORDER, DEFAULT_LGD, expected_loss, risk_band
 from creditloom.operators.metrics import threshold_sweep
 
@@ -21,14 +21,17 @@ def add_risk(df: DataFrame, pd: str = "pd", ead: str | None = "ead", lgd: float
 
 
 def check_risk_inputs(df: DataFrame, pd: str = "pd", ead: str = "ead", lgd: float = DEFAULT_LGD) -> None:
-    """Raise on empty input or values outside their range, one aggregate (K4)."""
+    """Raise on empty input, missing values or values outside their range, one aggregate (K4)."""
     if not 0 <= lgd <= 1:
-        raise ValueError("lgd must be between 0 and 1")
+        raise ValueError(f"A loss share lies between 0 and 1, not at {lgd}")
     p, e = F.col(pd), F.col(ead)
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if((p < 0) | (p > 1)).alias("p"),
-                 F.count_if(e < 0).alias("e")).first()
+                 F.count_if(e < 0).alias("e"), F.count_if(missing(p)).alias("no_p"),
+                 F.count_if(missing(e)).alias("no_e")).first()
     if row["n"] == 0:
         raise ValueError("A risk table needs at least one row")
+    if row["no_p"] or row["no_e"]:
+        raise ValueError(f"{row['no_p']} loans have no {pd} and {row['no_e']} no {ead}")
     if row["p"]:
         raise ValueError("Probabilities must lie in [0, 1]")
     if row["e"]:
@@ -59,11 +62,11 @@ def portfolio_view(df: DataFrame, threshold: float, lgd: float = DEFAULT_LGD, **
 
 
 def band_distribution(df: DataFrame, lgd: float = DEFAULT_LGD, pd: str = "pd", ead: str = "ead") -> DataFrame:
-    """Loans, exposure and expected loss per band; every band appears (K5)."""
+    """Loans, exposure and expected loss per band; every band appears, and Unknown for loans without a probability (K5)."""
     grouped = (add_risk(df, pd, ead, lgd).groupBy("risk_band")
                .agg(F.count(F.lit(1)).alias("loans"), F.sum(ead).alias("exposure"),
                     F.sum("expected_loss").alias("expected_loss")))
     spine = df.sparkSession.range(1).select(
-        F.posexplode(F.array(*[F.lit(b) for b in BAND_ORDER])).alias("position", "risk_band"))
+        F.posexplode(F.array(*[F.lit(b) for b in (*BAND_ORDER, "Unknown")])).alias("position", "risk_band"))
     return (spine.join(F.broadcast(grouped), "risk_band", "left")
             .na.fill(0, ["loans"]).na.fill(0.0, ["exposure", "expected_loss"]))

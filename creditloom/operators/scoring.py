@@ -40,10 +40,10 @@ class ScoringModel:
 
 
 def align_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (policy.KEY,)) -> DataFrame:
-    """Exactly the model's features, in order, absent or missing ones 0, as float."""
+    """Exactly the model's features, in order, absent ones, NULL and NaN 0, as float."""
     have = set(df.columns)
     return df.select(*[c for c in keep if c in have], *[
-        (F.coalesce(F.col(f).cast("float"), F.lit(0.0).cast("float")) if f in have
+        (F.coalesce(F.when(~F.isnan(F.col(f).cast("float")), F.col(f).cast("float")), F.lit(0.0).cast("float")) if f in have
          else F.lit(0.0).cast("float")).alias(f) for f in features])
 
 

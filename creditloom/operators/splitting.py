@@ -36,13 +36,13 @@ def add_split(df: DataFrame, cutoffs: Cutoffs = Cutoffs()) -> DataFrame:
 def check_split(split: DataFrame) -> dict[str, int]:
     """Rows per window; raises on undated rows (D1) or an empty window."""
     if "split" not in split.columns:
-        raise policy.PolicyError("The time-based split needs an issue_d column.")
+        raise policy.PolicyError(f"No {policy.SPLIT_COLUMN} column to cut the loans by")
     rows = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     if rows.get(None):
-        raise policy.PolicyError(f"issue_d contains {rows[None]:,} unparseable values")
+        raise policy.PolicyError(f"{rows[None]:,} loans have no readable {policy.SPLIT_COLUMN}")
     for name in WINDOWS:
         if not rows.get(name):
-            raise policy.PolicyError(f"Time split produced an empty {name} set")
+            raise policy.PolicyError(f"No loan falls into the {name} window")
     return {name: rows[name] for name in WINDOWS}
 
 
@@ -50,7 +50,7 @@ def time_split(df: DataFrame, cutoffs: Cutoffs = Cutoffs(), check: bool = True,
                ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Training, validation and test frames without the date column (D3)."""
     if policy.SPLIT_COLUMN not in df.columns:
-        raise policy.PolicyError("The time-based split needs an issue_d column.")
+        raise policy.PolicyError(f"No {policy.SPLIT_COLUMN} column to cut the loans by")
     split = add_split(df, cutoffs)
     if check:
         check_split(split)
@@ -70,9 +70,9 @@ def add_fit_flag(df: DataFrame, cutoffs: Cutoffs = Cutoffs(),
                  strategy: str = STRATEGY) -> DataFrame:
     """Boolean ``is_fit``: rows encodings may learn from."""
     if strategy != STRATEGY:
-        raise policy.PolicyError(f"Unknown split strategy: {strategy!r}")
+        raise policy.PolicyError(f"Strategy {strategy!r} is not supported")
     if policy.SPLIT_COLUMN not in df.columns:
-        raise policy.PolicyError("The time-based split needs an issue_d column.")
+        raise policy.PolicyError(f"No {policy.SPLIT_COLUMN} column to cut the loans by")
     day = F.col(policy.SPLIT_COLUMN)
     return df.withColumn("is_fit", F.coalesce(day < F.lit(cutoffs.train_end).cast("date"),
                                               F.lit(False)))

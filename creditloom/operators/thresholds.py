@@ -87,7 +87,7 @@ def strategy(df: DataFrame, name: str, grid: Sequence[float] | None = None, scor
     if name in ("max_precision", "max_recall") and best.first()["b"] is None:
         limit = (f"recall ≥ {min_recall:.2f}" if name == "max_precision"
                  else f"precision ≥ {min_precision:.2f}")
-        raise Infeasible(f"No threshold achieves {limit}.")
+        raise Infeasible(f"{limit} is out of reach at every threshold of the grid")
     rows = best.select(_row(name, "b", _detail(name, min_recall, min_precision)).alias("r")).select("r.*")
     return metrics.rounded_rates(rows)
 

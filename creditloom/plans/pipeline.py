@@ -54,7 +54,7 @@ def build_model(spark: SparkSession, layout: Layout, kind: str = "boosted_trees_
     The threshold is chosen on the calibrated scores it will be applied to.
     """
     stored = spark.read.parquet(layout.path("features"))
-    columns = policy.feature_columns(stored.columns, [policy.SPLIT_COLUMN, "split"])
+    columns = policy.having("feature", stored.columns, [policy.SPLIT_COLUMN, "split"])
     base, run = models.train_and_evaluate(stored, kind, columns, **overrides)
     validation = stored.filter("split = 'validation'")
     calibrated = calibration.calibrate(base, validation, method)

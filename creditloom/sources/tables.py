@@ -81,8 +81,9 @@ def read_first_existing(spark: SparkSession, labelled_paths: Sequence[tuple[str,
     for label, path in labelled_paths:
         try:
             return spark.read.parquet(path), label
-        except AnalysisException:
-            continue
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # a broken table is no reason to read another
+                raise
     raise FileNotFoundError(f"No table found at {[p for _, p in labelled_paths]}")
 
 
@@ -130,4 +131,5 @@ def read_applications(spark: SparkSession, path: str, limit: int | None = None)
               for f in raw_schema(names)]
     df = (spark.read.schema(T.StructType(fields)).option("header", True)
           .option("enforceSchema", False).option("escape", '"').csv(path))
+    df = nan_to_null(df)
     return df.limit(limit) if limit else df

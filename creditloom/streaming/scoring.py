@@ -13,12 +13,13 @@ from pyspark.sql.streaming.query import StreamingQuery
 from creditloom.operators.contract import application_schema
 from creditloom.operators.encoding import Encodings
 from creditloom.operators.scoring import ScoringModel, judge_and_score
+from creditloom.sources.tables import nan_to_null
 
 
 def application_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
-    """Applications from parquet files as they appear in a folder."""
-    return (spark.readStream.schema(application_schema()).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(folder))
+    """Applications from parquet files as they appear in a folder; NaN becomes NULL."""
+    return nan_to_null(spark.readStream.schema(application_schema()).option("maxFilesPerTrigger", files_per_trigger)
+                       .parquet(folder))
 
 
 def score_stream(applications: DataFrame, model: ScoringModel, encodings: Encodings, out: str,

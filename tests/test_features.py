@@ -135,8 +135,8 @@ def test_validation_names_the_columns(spark):
 
 def test_policy():
     names = ["loan_id", "loan_amnt", "grade", "default", "recoveries", "emp_title", "loan_age_months"]
-    assert policy.feature_columns(names, ["grade"]) == ["loan_amnt"]
-    assert policy.leakage_columns_present(names) == ["recoveries", "loan_age_months"]
+    assert policy.having("feature", names, ["grade"]) == ["loan_amnt"]
+    assert sorted(policy.having("leakage", names)) == ["loan_age_months", "recoveries"]
     with pytest.raises(policy.PolicyError, match="missing 1 feature"):
         policy.require_features(names, ["loan_amnt", "missing_feature"])
     with pytest.raises(policy.PolicyError):

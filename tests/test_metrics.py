@@ -139,7 +139,29 @@ def test_bands(spark):
 def test_every_band_is_listed(spark):
     df = spark.createDataFrame([(0.05, 100.0)], "pd double, ead double")
     rows = risk.band_distribution(df).orderBy("position").collect()
-    assert [(r["risk_band"], r["loans"]) for r in rows] == [("Low", 1), ("Medium", 0), ("High", 0), ("Very High", 0)]
+    assert [(r["risk_band"], r["loans"]) for r in rows] == [
+        ("Low", 1), ("Medium", 0), ("High", 0), ("Very High", 0), ("Unknown", 0)]
+
+
+@pytest.mark.parametrize("partitions", ["1", "4"])
+@pytest.mark.parametrize("gap", [None, float("nan")])
+def test_no_unscored_loan_goes_missing(spark, gap, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.createDataFrame([(1, 0.9, 1.0), (0, 0.2, 1.0), (1, 0.4, 1.0), (0, gap, 1.0), (1, gap, 1.0)],
+                                   "default int, pd double, ead double")
+        for faulty in (lambda: metrics.roc_auc(df), lambda: metrics.probability_metrics(df),
+                       lambda: metrics.confusion_at(df, 0.5), lambda: metrics.threshold_sweep(df, [0.5])):
+            with pytest.raises(Exception, match="missing in some rows"):
+                faulty().collect()
+        row = metrics.threshold_sweep(df, [0.3], count_unscored=True).first()
+        assert (row.tp, row.fp, row.fn, row.tn, row.unscored) == (2, 0, 0, 1, 2)
+        with pytest.raises(ValueError, match="2 loans have no pd"):
+            risk.business_table(df)
+        assert sum(r["loans"] for r in risk.band_distribution(df).collect()) == 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @pytest.mark.parametrize("rows, text", [([], "at least one"), ([(0, 1.2, 1.0)], "Probabilities"), ([(0, 0.2, -1.0)], "Exposure")])
