@@ -163,15 +163,16 @@ def _may_link(n1, p1, n2, p2, percent: int):
 
 
 def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a: leader, b: member). Leaders have fewer rare shingles everywhere, so no pair comes both ways round."""
     near = (buckets.where("sid <> leader").where(_may_link("n", "pos", "leader_n", "leader_pos", percent))
-            .select(F.least("sid", "leader").alias("a"), F.greatest("sid", "leader").alias("b")))
+            .select(F.col("leader").alias("a"), F.col("sid").alias("b")))
     heads = buckets.where("salt >= 0 and sid = leader")
     best = heads.groupBy("token").agg(F.min_by(F.struct("sid", "n", "pos"), F.struct("loose", "sid")).alias("top"))
     between = (heads.join(best, "token")
                .select("sid", "n", "pos", F.col("top.sid").alias("other"), F.col("top.n").alias("other_n"),
                        F.col("top.pos").alias("other_pos"))
                .where("sid <> other").where(_may_link("n", "pos", "other_n", "other_pos", percent))
-               .select(F.least("sid", "other").alias("a"), F.greatest("sid", "other").alias("b")))
+               .select(F.col("other").alias("a"), F.col("sid").alias("b")))
     return near.unionByName(between).distinct()
 
 
@@ -208,15 +209,18 @@ def _suffix_filter(percent: int):
 
 
 def _sets(batches):
+    """(sid, other, items) of texts whose set is the class ``sid``."""
     for batch in batches:
-        sids, found = [], []
-        wanted = batch.column(1).to_pylist()
+        sids, others, found = [], [], []
+        wanted, beside = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         for row, words, _, _ in batch_words(batch.column(0)):
             own = shingle_set(words, SHINGLE)
             if len(own) and int.from_bytes(_digest(own), "little", signed=True) == wanted[row]:
                 sids.append(wanted[row])
+                others.append(beside[row])
                 found.append(own.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(found, pa.binary())], ["sid", "items"])
+        yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(others, pa.int64()),
+                                          pa.array(found, pa.binary())], ["sid", "other", "items"])
 
 
 def _verifier(percent: int):
@@ -242,13 +246,20 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
     pairs = _small(materialise(pairs, "pairs"))
     rest = materialise(pairs.join(left, "a").join(right, "b").select("a", "b", "n1", "n2", "c1", "c2")
                        .mapInArrow(_suffix_filter(percent), "a long, b long"), "candidates")
-    ends = rest.select(F.col("a").alias("sid")).unionByName(rest.select(F.col("b").alias("sid"))).distinct()
-    needed = materialise(classes.join(ends, "sid").select(F.col("first_id").alias("doc_id"), "sid"), "needed")
-    sets = materialise(docs.select(F.col("doc_id").cast("long"), "text").join(_small(needed), "doc_id")
-                       .select("text", "sid").mapInArrow(_sets, "sid long, items binary"), "sets")
-    x = sets.select(F.col("sid").alias("a"), F.col("items").alias("x"))
-    y = sets.select(F.col("sid").alias("b"), F.col("items").alias("y"))
-    return materialise(_small(rest).join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    # sets are made anew from the texts where these are read: one is shuffled per pair, and one per leader
+    places = classes.select("sid", F.col("first_id").alias("doc_id"))
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+
+    def sets(wanted: DataFrame) -> DataFrame:
+        near = _small(materialise(wanted.join(places, "sid").select("doc_id", "sid", "other"), "wanted"))
+        return texts.join(near, "doc_id").select("text", "sid", "other").mapInArrow(
+            _sets, "sid long, other long, items binary")
+
+    leaders = sets(rest.select(F.col("a").alias("sid"), F.col("a").alias("other")).distinct())
+    members = sets(rest.select(F.col("b").alias("sid"), F.col("a").alias("other")))
+    x = leaders.select(F.col("sid").alias("a"), F.col("items").alias("x"))
+    y = members.select(F.col("other").alias("a"), F.col("sid").alias("b"), F.col("items").alias("y"))
+    return materialise(y.join(x, "a").select("a", "b", "x", "y")
                        .mapInArrow(_verifier(percent), "a long, b long").distinct(), "links")
 
 
