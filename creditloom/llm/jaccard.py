@@ -34,7 +34,8 @@ FREQUENT = 1 << 18
 #: Shingles counted together in a task before counts below LOCAL_LEAST are left out of the list.
 COUNT_BLOCK = 1 << 20
 LOCAL_LEAST = 3
-PARTS = 64
+#: A set of n shingles is counted in the largest power of two of parts that leaves at least so many in each.
+PART_SHINGLES = 4
 #: Frequent tokens are spread over so many buckets, each with its own leader.
 SALTS = 8
 #: Rows of a key table (16 bytes each) up to which it is broadcast.
@@ -115,8 +116,7 @@ def _profiler(shared, percent: int):
                 loose.append(rare * 1_000_000 // n)
                 rares.append(rare)
                 prefixes.append(_as_long(found[order]))
-                in_parts = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                parts.append(np.minimum(in_parts, 65535).astype("<u2").tobytes())
+                parts.append(_part_counts(found))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(loose, pa.int64()), pa.array(rares, pa.int64()),
@@ -125,6 +125,22 @@ def _profiler(shared, percent: int):
     return run
 
 
+def _part_counts(found: np.ndarray) -> bytes:
+    """Shingles in each part of the hash space, a byte each; nothing if a part holds more than a byte can say."""
+    bits = max(0, (len(found) // PART_SHINGLES).bit_length() - 1)
+    place = (found >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(found), dtype=np.int64)
+    counts = np.bincount(place, minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def _least_difference(left: bytes, right: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their part counts."""
+    if not left or not right:
+        return 0
+    short, long = sorted((np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)), key=len)
+    return int(np.abs(long.astype(np.int64).reshape(len(short), -1).sum(axis=1) - short).sum())
+
+
 def _digest(found: np.ndarray) -> bytes:
     import xxhash
     return xxhash.xxh3_64_digest(found.tobytes())
@@ -197,9 +213,8 @@ def _suffix_filter(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, PARTS).astype(int)
-                           for k in (4, 5))
-            apart = np.abs(left - right).sum(axis=1)
+            apart = np.array([_least_difference(x.as_py(), y.as_py())
+                              for x, y in zip(batch.column(4), batch.column(5))], dtype=np.int64)
             total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
             # overlap >= percent*total/(100+percent)  <=>  difference <= total*(100-percent)/(100+percent)
             keep = apart * (100 + percent) <= total * (100 - percent)
