@@ -140,7 +140,8 @@ def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     estimate = materialise(_factor(start), "estimate")
     for _ in range(steps):
         near = rows.join(estimate, "group").select("group", *names, _distance().alias("d2"))
-        limit = near.groupBy("group").agg(F.percentile_approx("d2", SHARE, 10_000).alias("limit"))
+        # written, so that its true size is known: a small one is broadcast and no row is dealt out by its group
+        limit = materialise(near.groupBy("group").agg(F.percentile_approx("d2", SHARE, 10_000).alias("limit")), "limit")
         nearest = near.join(limit, "group").where("d2 <= limit")
         estimate = materialise(_factor(_moments(nearest, CONSISTENCY)), "estimate")
     return estimate
