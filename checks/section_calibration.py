@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks import learned
+from checks import frames, learned
 from checks.registry import check
 from checks.section_models import _LONG, compared
 from creditloom.operators import calibration, scoring
@@ -19,16 +19,31 @@ def j1(spark, d):
     return _calibrated(spark, d, "sigmoid")
 
 
-@check("j2_isotonic")
+@check("j2_isotonic", frames.PREP + "SELECT split, count(*) AS loans, CAST(0 AS BIGINT) AS outside, true AS mean_is_base_rate "
+       "FROM fit WHERE split = 'validation' GROUP BY split")
 def j2(spark, d):
-    return _calibrated(spark, d, "isotonic")
+    """On the rows it was fitted on an isotonic calibrator keeps the base rate."""
+    validation = learned.features(spark, d).filter("split = 'validation'")
+    model = calibration.calibrate(learned.boosted(spark, d), validation, "isotonic")
+    scored = scoring.predict(validation, model, keep=["split", "default"])
+    return scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("loans"), F.count_if(_outside("pd")).alias("outside"),
+        (F.abs(F.avg("pd") - F.avg("default")) < 1e-6).alias("mean_is_base_rate"))
 
 
-@check("j3_apply_calibrator")
+def _outside(column):
+    return F.coalesce(~F.col(column).between(0, 1) | F.isnan(column), F.lit(True))
+
+
+@check("j3_apply_calibrator", frames.PREP + "SELECT loan_id, true AS in_range, true AS sums_to_one, true AS label_follows "
+       "FROM fit WHERE split = 'test'")
 def j3(spark, d):
     p = F.col("pd")
-    return _calibrated(spark, d, "sigmoid").select("loan_id", (1 - p).alias("p_paid"), p.alias("p_default"),
-                                                   (p >= 0.5).cast("int").alias("label"))
+    out = _calibrated(spark, d, "sigmoid").select("loan_id", (1 - p).alias("p_paid"), p.alias("p_default"),
+                                                  (p >= 0.5).cast("int").alias("label"))
+    return out.select("loan_id", (~_outside("p_paid") & ~_outside("p_default")).alias("in_range"),
+                      (F.abs(F.col("p_paid") + F.col("p_default") - 1) < 1e-12).alias("sums_to_one"),
+                      (F.col("label") == (F.col("p_default") >= F.col("p_paid")).cast("int")).alias("label_follows"))
 
 
 @check("j4_compare_variants", _LONG + "SELECT variant, roc_auc, pr_auc, brier, log_loss FROM compared")

@@ -82,15 +82,19 @@ def a7(spark, d):
     return spark.read.schema("grade string, rows bigint, rate double").json(path)
 
 
-@check("a8_model_round_trip")
+@check("a8_model_round_trip", frames.PREP + "SELECT count(*) AS loans, CAST(0 AS BIGINT) AS differ FROM fit "
+       "WHERE split = 'test'")
 def a8(spark, d):
     from checks import learned
     from creditloom.operators import scoring
     model, path = learned.logistic(spark, d), fresh_path(spark, "model")
-    tables.save_model(model.pipeline, path)
-    again = scoring.ScoringModel(tables.load_model(path), model.features, model.threshold)
+    scoring.save_scoring_model(model, spark, path)
+    again = scoring.load_scoring_model(spark, path)
     test = learned.features(spark, d).filter("split = 'test'")
-    return scoring.predict(test, again, keep=["loan_id"])
+    both = scoring.predict(scoring.predict(test, model, "live"), again, "stored", keep=["live"])
+    decide = (F.col("live") >= model.threshold) != (F.col("stored") >= again.threshold)
+    apart = F.coalesce((F.abs(F.col("live") - F.col("stored")) > 1e-9) | decide, F.lit(True))
+    return both.agg(F.count(F.lit(1)).alias("loans"), F.count_if(apart).alias("differ"))
 
 
 @check("a9_read_applications", f"WITH {frames.RAW} SELECT loan_id, loan_amnt, "

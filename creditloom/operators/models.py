@@ -7,7 +7,7 @@ import math
 import random
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -139,6 +139,22 @@ def evaluate(scores: DataFrame, threshold: float) -> dict[str, float]:
             "brier": row["brier"], "log_loss": row["log_loss"], "f1": at["f1"]}
 
 
+def window_figures(validation: DataFrame, test: DataFrame, threshold: float) -> dict[str, float]:
+    """The published figures of a model, from its scores of both windows."""
+    on_validation, on_test = evaluate(validation, threshold), evaluate(test, threshold)
+    return {"val_roc_auc": on_validation["roc_auc"], "val_avg_precision": on_validation["pr_auc"],
+            "val_f1": on_validation["f1"], "test_roc_auc": on_test["roc_auc"],
+            "test_avg_precision": on_test["pr_auc"], "test_f1": on_test["f1"], "test_brier": on_test["brier"]}
+
+
+def measured(model: ScoringModel, features: DataFrame) -> ScoringModel:
+    """The model with the figures of its own scores, at the best-F1 threshold of the validation window."""
+    scores = score_windows(features, {model.version: model})
+    validation, test = (scores.filter(F.col("split") == s) for s in ("validation", "test"))
+    threshold = thresholds.best_f1(validation).first()["threshold"]
+    return replace(model, threshold=threshold, metrics=window_figures(validation, test, threshold))
+
+
 def train_and_evaluate(features: DataFrame, kind: str, columns: Sequence[str], version: str = "run",
                        **overrides) -> tuple[ScoringModel, DataFrame]:
     """Fit on train, threshold on validation, measure on test (G10); model and its run row."""
@@ -147,10 +163,7 @@ def train_and_evaluate(features: DataFrame, kind: str, columns: Sequence[str], v
     validation = scores.filter(F.col("split") == "validation")
     test = scores.filter(F.col("split") == "test")
     best = thresholds.best_f1(validation).first()
-    on_validation, on_test = evaluate(validation, best["threshold"]), evaluate(test, best["threshold"])
-    figures = {"val_roc_auc": on_validation["roc_auc"], "val_avg_precision": on_validation["pr_auc"],
-               "val_f1": best["f1"], "test_roc_auc": on_test["roc_auc"], "test_avg_precision": on_test["pr_auc"],
-               "test_f1": on_test["f1"], "test_brier": on_test["brier"]}
+    figures = window_figures(validation, test, best["threshold"])
     model = ScoringModel(trained.model.pipeline, list(columns), best["threshold"], version, kind, metrics=figures)
     return model, run_row(features, trained, model)
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from creditloom import policy
@@ -23,6 +23,10 @@ from creditloom.operators.encoding import Encodings
 from creditloom.operators.features import build_features
 
 
+_METADATA = ("features array<string>, threshold double, version string, model_type string, probability string, "
+             "metrics map<string,double>")
+
+
 @dataclass(frozen=True)
 class ScoringModel:
     """A fitted pipeline with the threshold chosen on exactly its own scores."""
@@ -39,6 +43,21 @@ class ScoringModel:
         policy.refuse_leakage(self.features, "Model metadata")
 
 
+def save_scoring_model(model: ScoringModel, spark: SparkSession, path: str) -> None:
+    """The pipeline and one row with all else that serving needs, the threshold first of all."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    spark.createDataFrame([(list(model.features), float(model.threshold), model.version, model.model_type,
+                            model.probability, {k: float(v) for k, v in model.metrics.items()})],
+                          _METADATA).coalesce(1).write.mode("overwrite").parquet(f"{path}/metadata")
+
+
+def load_scoring_model(spark: SparkSession, path: str) -> ScoringModel:
+    """What ``save_scoring_model`` stored; it decides as the saved model did."""
+    row = spark.read.schema(_METADATA).parquet(f"{path}/metadata").first()
+    return ScoringModel(PipelineModel.load(f"{path}/pipeline"), list(row["features"]), row["threshold"], row["version"],
+                        row["model_type"], row["probability"], dict(row["metrics"]))
+
+
 def align_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (policy.KEY,)) -> DataFrame:
     """Exactly the model's features, in order, absent ones, NULL and NaN 0, as float."""
     have = set(df.columns)

@@ -9,9 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creditloom import policy
-from creditloom.operators import calibration, cleaning, encoding, features, models, splitting
+from creditloom.operators import calibration, cleaning, encoding, features, models, scoring, splitting
 from creditloom.operators.scoring import ScoringModel
 from creditloom.sources import tables
 
@@ -51,14 +52,15 @@ def build_model(spark: SparkSession, layout: Layout, kind: str = "boosted_trees_
                 method: str = "sigmoid", **overrides) -> ScoringModel:
     """Train on the first window, calibrate and choose the threshold on the second.
 
-    The threshold is chosen on the calibrated scores it will be applied to.
+    Threshold and figures are those of the calibrated scores, stored with the model; ``load_scoring_model`` serves it.
+    The runs table grows by one row.
     """
     stored = spark.read.parquet(layout.path("features"))
     columns = policy.having("feature", stored.columns, [policy.SPLIT_COLUMN, "split"])
     base, run = models.train_and_evaluate(stored, kind, columns, **overrides)
-    validation = stored.filter("split = 'validation'")
-    calibrated = calibration.calibrate(base, validation, method)
-    final = models.with_threshold(calibrated, validation)
-    tables.save_model(final.pipeline, layout.path("model"))
-    tables.write_json(run, layout.path("runs"))
+    final = models.measured(calibration.calibrate(base, stored.filter("split = 'validation'"), method), stored)
+    scoring.save_scoring_model(final, spark, layout.path("model"))
+    own = {**{n: F.round(F.lit(float(v)), 6) for n, v in final.metrics.items()}, "run_id": F.lit(final.version),
+           "threshold": F.round(F.lit(float(final.threshold)), 4)}
+    tables.write_json(run.withColumns(own), layout.path("runs"), mode="append")
     return final

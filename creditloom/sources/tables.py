@@ -110,9 +110,9 @@ def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
      .option("compression", compression).csv(path))
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """A metadata or result table as JSON lines."""
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A metadata or result table as JSON lines (A7); a runs table is appended to."""
+    df.write.mode(mode).json(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -23,12 +23,14 @@ def test_from_raw_file_to_model(spark, folder):
     assert encodings.rows["state_default_rate"] == cleaned.select("addr_state").distinct().count()
     model = build_model(spark, layout, "logistic_regression", "sigmoid", scaled=True, max_iter=20)
     assert model.probability == "calibrated" and 0.01 <= model.threshold <= 0.99
-    stored = scoring.ScoringModel(tables.load_model(layout.path("model")), model.features, model.threshold,
-                                  probability=model.probability)
+    stored = scoring.load_scoring_model(spark, layout.path("model"))
+    assert (stored.threshold, stored.features, stored.version, stored.probability, stored.metrics) == (
+        model.threshold, model.features, model.version, model.probability, model.metrics)
     test = features.filter("split = 'test'")
     row = scoring.predict(test, stored, keep=["default"]).agg(F.min("pd"), F.max("pd"), F.count("*")).first()
     assert 0 <= row[0] < row[1] <= 1 and row[2] == test.count()
     run = spark.read.json(layout.path("runs")).first()
+    assert run["run_id"] == "run-sigmoid" and run["test_brier"] == round(stored.metrics["test_brier"], 6)
     assert run["n_train"] + run["n_validation"] + run["n_test"] == features.count()
 
 
