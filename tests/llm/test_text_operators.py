@@ -172,6 +172,22 @@ def test_toxicity_finds_words_of_the_toxic_class(spark):
     assert toxicity.without_toxic(docs, marks.where("toxic = 0")).count() == docs.count()
 
 
+def test_toxicity_learns_stems_and_rare_words(spark):
+    rng = np.random.default_rng(8)
+    rows, labels = [], []
+    for k in range(400):
+        words = [f"plain{i}" for i in rng.integers(0, 60, 60)]
+        if k % 5 == 0:  # no such word is in three texts, only their stem is
+            for at in (7, 20, 41):
+                words[at] = "réeux" + "".join(rng.choice(list("bcdfghklm"), 5))
+        rows.append((k, " ".join(words)))
+        labels.append((k, int(k % 5 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(docs, marks).collect()}
+    assert all(got[k] == int(k % 5 == 0) for k in range(400))
+
+
 # --- op2, op3
 
 @pytest.fixture(scope="module")
