@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.memo import per_process, slices, small_batches
-from creditloom.llm.sampling import crc32_fold, labelled_sample
+from creditloom.llm.sampling import crc32_fold, sampled
 
 #: Labelled texts per language that a dictionary is made from, and its bytes.
 FIT_TEXTS = 200
 DICTIONARY_BYTES = 65_536
 WINDOW_BYTES = 512
+#: Bytes that one text gives to a dictionary at most, from all over the text, so that no text fills it alone.
+TEXT_BYTES = 16_384
 LEVEL = 6
 #: A window below this is repeated up to it, as the coder stores very short input raw.
 SHORT_BYTES = 64
@@ -36,6 +38,31 @@ def _plain(text: str) -> str:
     return " ".join(text.lower().translate(_MARKS).split())
 
 
+def _pieces(size: int):
+    """Each sample text as plain text of at most ``size`` bytes: windows at equal distances over all of it."""
+    def run(batches):
+        for batch in slices(batches):
+            found = []
+            for text in batch.column(3).to_pylist():
+                words = _plain(text)
+                data = words.encode()
+                count = size // WINDOW_BYTES
+                if len(data) > size:
+                    step = len(data) / count
+                    data = b" ".join(data[int(i * step):int(i * step) + WINDOW_BYTES - 1] for i in range(count))
+                found.append(data.decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(found, pa.string())],
+                                             ["label", "rank", "doc_id", "text"])
+    return run
+
+
+def learn(docs: DataFrame, labels: DataFrame, fit_texts: int, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+    """Dictionaries from whole texts; each comes to the driver as windows of at most TEXT_BYTES bytes."""
+    rows = sampled(docs, labels, fit_texts).mapInArrow(
+        _pieces(TEXT_BYTES), "label string, rank int, doc_id long, text string").collect()
+    return dictionaries([(r.label, r.text) for r in sorted(rows, key=lambda r: (r.label, r.rank, r.text))], size)
+
+
 def dictionaries(sample: list[tuple[str, str]], size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """Language -> dictionary content, the last ``size`` bytes of its sample texts in lower case."""
     texts: dict[str, list[str]] = {}
@@ -95,7 +122,7 @@ def identify(docs: DataFrame, folds: int = 5, held: int = 0, fit_texts: int = FI
     """
     small_batches(docs.sparkSession)
     fold = crc32_fold("doc_id", folds)
-    sample = labelled_sample(docs, docs.where(fold != held).select("doc_id", F.col("lang").alias("label")), fit_texts)
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries(sample))
+    found = learn(docs, docs.where(fold != held).select("doc_id", F.col("lang").alias("label")), fit_texts)
+    shared = docs.sparkSession.sparkContext.broadcast(found)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold == held).alias("held_out"), "text").mapInArrow(
         _predictor(shared), "doc_id long, held_out boolean, lang_pred string, score double, reliable boolean")

@@ -188,6 +188,31 @@ def test_toxicity_learns_stems_and_rare_words(spark):
     assert all(got[k] == int(k % 5 == 0) for k in range(400))
 
 
+def test_chance_hits_of_long_texts_do_not_add_up():
+    hit = {"bad": 4.0, "ill": 4.0}
+    clean = ["plain"] * 20_000
+    clean[::400] = ["bad"] * 50
+    short = ["plain"] * 100
+    short[3], short[9] = "bad", "ill"
+    weigh = lambda words: toxicity.text_evidence(words, lambda w: hit.get(w, 0.0))
+    assert weigh(clean) == 0.0 and weigh(short) == weigh(["plain"] * 50 + short[:50]) == 8.0
+    assert weigh(["plain"] * 20_000 + short) > 0.0 and weigh([]) == 0.0
+
+
+def test_fit_reads_texts_beyond_their_first_20000_characters(spark):
+    rng = np.random.default_rng(4)
+    long_start = " ".join(f"plain{i}" for i in rng.integers(0, 60, 3_000))
+    rows = [(k, f"{long_start} {'vilethug lowbrute' if k % 3 == 0 else 'plain1 plain2'}") for k in range(60)]
+    docs = spark.createDataFrame(rows + [(99, "plain3 vilethug lowbrute plain4")], "doc_id long, text string")
+    marks = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)], "doc_id long, toxic int")
+    model = toxicity.toxicity_model(docs, marks)
+    assert b"vilethug" in model["toxic"] and b"lowbrute" in model["toxic"]
+    texts = spark.createDataFrame([(k, "first words " * 4_000 + "zebra " * 4_000, "aa") for k in range(9)],
+                                  "doc_id long, text string, lang string")
+    found = language.learn(texts, texts.selectExpr("doc_id", "lang as label"), 9)
+    assert b"first" in found["aa"] and b"zebra" in found["aa"]
+
+
 # --- op2, op3
 
 @pytest.fixture(scope="module")
