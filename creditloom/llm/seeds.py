@@ -22,8 +22,8 @@ MASKS = ("1110110111", "1101111011", "1011101111")
 #: Equal words that an overlap needs, and their least share of its length.
 LEAST_EQUAL = 12
 LEAST_SHARE = 0.75
-#: What an unequal word costs when the best stretch is sought.
-PENALTY = 2
+#: What an unequal word costs: at this price a stretch is worth 0 or more if LEAST_SHARE of it is equal.
+PENALTY = 3
 #: log2 of the bits of the table that texts are sifted with before the join: 16 per benchmark seed, within these limits.
 SIFT_BITS = (20, 30)
 BROADCAST_ROWS = 1_000_000
@@ -95,14 +95,20 @@ def _sifter(shared):
 
 
 def best_stretch(equal: np.ndarray, penalty: int = PENALTY) -> tuple[int, int, int]:
-    """(start, end, equal words) of the stretch with the largest count of equal less ``penalty`` x unequal words."""
-    if not len(equal):
-        return 0, 0, 0
+    """(start, end, equal words) of the stretch with most equal words among those with at least as many as ``penalty`` x
+    unequal words. It starts and ends with equal words.
+
+    Seeking the largest difference instead would miss a long stretch of just that share beside a short perfect one.
+    """
     total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -penalty))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    start = int(np.argmax(total[:end + 1] == low[end]))
-    return start, end, int(equal[start:end].sum())
+    count = np.concatenate([[0], np.cumsum(equal)])
+    first = np.searchsorted(-np.minimum.accumulate(total), -total)  # longest stretch that ends here
+    found = count - count[first]
+    end = int(np.argmax(found))
+    if not found[end]:
+        return 0, 0, 0
+    inside = np.flatnonzero(equal[first[end]:end]) + first[end]
+    return int(inside[0]), int(inside[-1]) + 1, len(inside)
 
 
 def _verify(batches):

@@ -141,6 +141,14 @@ def test_decontamination_finds_planted_passages(spark, folder):
     assert whole <= found
 
 
+@given(st.lists(st.booleans(), max_size=40))
+def test_best_stretch_equals_brute_force(equal):
+    start, end, n = seeds.best_stretch(np.array(equal, dtype=bool))
+    best = max((sum(equal[i:j]) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1)
+                if 4 * sum(equal[i:j]) >= 3 * (j - i)), default=0)
+    assert n == best == sum(equal[start:end]) and 4 * n >= 3 * (end - start)
+
+
 # --- op1, op6
 
 def test_language_accuracy_and_awkward_rows(spark, folder, odd, empty):
