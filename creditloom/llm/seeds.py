@@ -2,12 +2,14 @@
 
 A mask reads some of the words of a window and ignores the others, so its hash survives substitutions at the ignored
 places. Seeds of the benchmark and of the texts are joined on their hashes; each hit gives a diagonal (place in the text
-less place in the item), on which the words are compared one by one. The best stretch there, with a penalty for unequal
-words, has to hold enough equal words to count as an overlap.
+less place in the item), on which the words are compared one by one. An overlap is a long stretch there that is mostly equal,
+or a whole item; how many of its words have to be equal depends on its length.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,22 +19,24 @@ from creditloom.llm.hashing import batch_words, windows
 from creditloom.llm.memo import release, small_batches
 from creditloom.session import materialise
 
-#: 1: the word counts; 0: it is ignored. Ten words, eight of which are read.
-MASKS = ("1110110111", "1101111011", "1011101111")
-#: Equal words that an overlap needs, and their least share of its length.
+#: 1: the word counts; 0: it is ignored. A stretch without a hit has at most 2 k + 3 equal words beside k unequal ones,
+#: as a run of 3 is followed by two unequal words or none; no overlap that is accepted below is like that.
+MASKS = ("1111", "11101")
+#: Equal words that a part of an item needs, and their least share of the stretch.
 LEAST_EQUAL = 12
 LEAST_SHARE = 0.75
 #: What an unequal word costs: at this price a stretch is worth 0 or more if LEAST_SHARE of it is equal.
 PENALTY = 3
+#: Words below which an item has to be there as it is, and up to which SHORT_SHARE of it has to be equal.
+WHOLE_WORDS, SHORT_WORDS, SHORT_SHARE = 8, 12, 0.8
 #: log2 of the bits of the table that texts are sifted with before the join: 16 per benchmark seed, within these limits.
 SIFT_BITS = (20, 30)
 BROADCAST_ROWS = 1_000_000
 _PLACES = [tuple(i for i, c in enumerate(mask) if c == "1") for mask in MASKS]
-_SPAN = len(MASKS[0])
 
 
 def _seeds_of(words: np.ndarray) -> list[np.ndarray]:
-    """One array per mask; the masks start and end with 1, so all have a seed at every place."""
+    """One array per mask; all that fit."""
     return [windows(words, places) ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))
             for k, places in enumerate(_PLACES)]
 
@@ -111,6 +115,24 @@ def best_stretch(equal: np.ndarray, penalty: int = PENALTY) -> tuple[int, int, i
     return int(inside[0]), int(inside[-1]) + 1, len(inside)
 
 
+def least_of_whole(words: int) -> int:
+    """Equal words that make a copy of a whole item of so many words."""
+    if words < WHOLE_WORDS:
+        return words
+    return math.ceil((SHORT_SHARE if words <= SHORT_WORDS else LEAST_SHARE) * words)
+
+
+def overlap(equal: np.ndarray, item_words: int) -> tuple[int, int, int] | None:
+    """(start, end, equal words) of the overlap on one diagonal, or None: the whole item or a part of it."""
+    start, end, n = best_stretch(equal)
+    if n >= LEAST_EQUAL:
+        return start, end, n
+    places = np.flatnonzero(equal)
+    if len(places) and len(places) >= least_of_whole(item_words):
+        return int(places[0]), int(places[-1]) + 1, len(places)
+    return None
+
+
 def _verify(batches):
     for batch in batches:
         names = ["doc_id", "item_id", "doc_start", "n_words", "n_equal"]
@@ -126,9 +148,9 @@ def _verify(batches):
                 a, b = max(0, diagonal), min(len(doc), diagonal + len(item))
                 if b <= a:
                     continue
-                start, end, n = best_stretch(doc[a:b] == item[a - diagonal:b - diagonal])
-                if n >= LEAST_EQUAL and n >= LEAST_SHARE * (end - start) and (best is None or n > best[2]):
-                    best = (a + start, end - start, n)
+                found = overlap(doc[a:b] == item[a - diagonal:b - diagonal], len(item))
+                if found and (best is None or found[2] > best[2]):
+                    best = (a + found[0], found[1] - found[0], found[2])
             if best:
                 out.append((batch.column(0)[row].as_py(), batch.column(1)[row].as_py(), *best))
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(5)], names)
@@ -137,7 +159,7 @@ def _verify(batches):
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, doc_start, n_words, n_equal: the best overlap of each text with each benchmark item it overlaps.
 
-    Null and short texts (fewer words than a mask) and rows without doc_id or item_id overlap nothing. Rows that repeat a
+    Null texts, texts and items of fewer than four words, and rows without doc_id or item_id overlap nothing. Rows that repeat a
     doc_id give one result. Places count words from 0.
     """
     small_batches(docs.sparkSession)

@@ -141,6 +141,31 @@ def test_decontamination_finds_planted_passages(spark, folder):
     assert whole <= found
 
 
+def test_every_accepted_overlap_has_a_seed():
+    def seeded(equal):
+        return any(all(equal[i + j] for j, c in enumerate(m) if c == "1")
+                   for m in seeds.MASKS for i in range(len(equal) - len(m) + 1))
+    for n in range(4, 17):  # whole items, and parts of 12 to 16 words; longer ones hold even more equal words a gap
+        for bits in range(1 << n):
+            equal = [bool(bits >> i & 1) for i in range(n)]
+            if sum(equal) >= 0.75 * n and seeds.overlap(np.array(equal), n):
+                assert seeded(equal), equal
+
+
+def test_short_and_edited_items_are_found(spark):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (4, 9, 11, 15, 17, 20, 27)}
+    changed = {4: (), 9: (4,), 11: (2, 8), 15: (2, 7, 12), 17: (3, 8, 13), 20: (3, 7, 11, 15), 27: (3, 7, 11, 15, 19, 23)}
+    rows, other = [], ["so", "it", "goes"]
+    for n, words in items.items():
+        rows.append((n, " ".join(other + words + other)))
+        rows.append((100 + n, " ".join(other + [f"x{k}" if k in changed[n] else w for k, w in enumerate(words)] + other)))
+    rows.append((900, " ".join(items[9][:6] + ["y"] * 30)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_equal for r in seeds.overlaps(docs, benchmark).collect()}
+    assert got == {(n, n): n for n in items} | {(100 + n, n): n - len(changed[n]) for n in items}
+
+
 @given(st.lists(st.booleans(), max_size=40))
 def test_best_stretch_equals_brute_force(equal):
     start, end, n = seeds.best_stretch(np.array(equal, dtype=bool))
@@ -149,6 +174,14 @@ def test_best_stretch_equals_brute_force(equal):
     assert n == best == sum(equal[start:end]) and 4 * n >= 3 * (end - start)
 
 
+def test_long_overlap_with_a_worse_whole_keeps_its_core():
+    core = np.tile([True, True, True, True, False], 8)  # 80 % equal
+    around = np.tile([True, True, False], 60)  # 67 %
+    equal = np.concatenate([around, core, around])
+    start, end, n = seeds.overlap(equal, len(equal))
+    assert n >= 32 and n >= seeds.LEAST_SHARE * (end - start)
+
+
 # --- op1, op6
 
 def test_language_accuracy_and_awkward_rows(spark, folder, odd, empty):
