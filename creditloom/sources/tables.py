@@ -38,15 +38,17 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return first.names
 
 
-def read_raw_csv(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, partitions: int | None = None, multi_line: bool = True) -> DataFrame:
     """Raw loans from (gzipped) CSV with a header (A1).
 
     A gzip file is one task's work, so its rows are dealt out right after
-    reading; a folder of many files is already spread.
+    reading; a folder of many files is already spread. Quoted text may hold line
+    breaks; ``multi_line=False`` is for plain text known to have none, as only
+    then large files are read in pieces.
     """
     schema = raw_schema(_header(spark, path))
     df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-          .option("escape", '"').option("multiLine", False).csv(path))
+          .option("escape", '"').option("multiLine", multi_line).csv(path))
     if partitions:
         df = df.repartition(partitions)
     return df.transform(nan_to_null).transform(with_key)
