@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from creditloom.llm import bpe, chat, jaccard, language, lengths, outliers, pii, seeds, toxicity, urls
+from creditloom.llm import bpe, chat, jaccard, language, lengths, lines, outliers, pii, seeds, toxicity, urls
 
 #: The URL rules of the contract.
 URL_RULES = [urls.host_rule("com", "/", "allow"), urls.host_rule("example.com", "/en/", "block"),
@@ -64,9 +64,13 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, folder, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.digests(lines.drop_repeated_lines(table(spark, folder, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_token_counts, op3_bpe, op4_chat_format, op5_url_filter, op6_toxicity, op7_pii,
-    op8_quality_outliers, op9_decontamination, op10_jaccard_join)}
+    op8_quality_outliers, op9_decontamination, op10_jaccard_join, op11_line_dedup)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -122,4 +126,19 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, min(other) AS component_id,
 FROM sets JOIN reach USING (doc_id)
 JOIN (SELECT doc_id, count(*) OVER (PARTITION BY list_sort(s)) AS count_same FROM sets) c USING (doc_id)
 GROUP BY doc_id, s, count_same""",
+    "op11_line_dedup": f"""
+WITH pieces AS (
+  SELECT doc_id, row_number() OVER () AS doc, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+split AS (
+  SELECT doc_id, doc, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM pieces),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key
+  FROM split),
+repeats AS (
+  SELECT key, max(doc_id) AS stays FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id <> stays) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE stays IS NULL OR doc_id IS NULL OR doc_id = stays), ''))
+    AS kept_sha256
+FROM keyed LEFT JOIN repeats USING (key) GROUP BY doc_id, doc""",
 }
