@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from creditloom.llm import bpe, chat, jaccard, language, lengths, lines, outliers, pii, seeds, toxicity, urls
+from creditloom.llm import (alignment, bpe, chat, jaccard, language, lengths, lines, outliers, pii, seeds, toxicity, urls,
+                            whitening)
 
 #: The URL rules of the contract.
 URL_RULES = [urls.host_rule("com", "/", "allow"), urls.host_rule("example.com", "/en/", "block"),
@@ -68,9 +69,19 @@ def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.digests(lines.drop_repeated_lines(table(spark, folder, "documents")))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_token_counts, op3_bpe, op4_chat_format, op5_url_filter, op6_toxicity, op7_pii,
-    op8_quality_outliers, op9_decontamination, op10_jaccard_join, op11_line_dedup)}
+    op8_quality_outliers, op9_decontamination, op10_jaccard_join, op11_line_dedup, op12_token_alignment,
+    op13_embedding_whitening)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
