@@ -4,6 +4,10 @@ Both tokenizers cut the same bytes, so each token is an interval of bytes. All t
 running maximum of their ends shows where a group breaks: at a start that reaches it, no earlier token goes on, so both
 tokenizers end there. Inside a group the tokens whose bytes overlap are linked.
 
+Neither tokenizer joins the end of a word with a single space behind it, so a group always breaks before that space. A text
+is cut there, and what is aligned are its words with the space before them: all new words of some rows together, as
+one run of bytes, and each word once as long as a task remembers it.
+
 Texts are encoded once. The table written then has each text's figures and its different id pairs with their number; the
 number of documents that hold a pair, and each A id's best pair, come from that table.
 """
@@ -12,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +28,10 @@ from creditloom.llm.bpe import byte_symbols
 from creditloom.llm.memo import per_process, slices, small_batches
 from creditloom.session import materialise
 
-#: Characters encoded at once, unless one text is longer.
-ENCODE_CHARS = 1 << 16
+#: Words that a task remembers with their alignment, and their greatest length.
+CACHED_WORDS, CACHED_LENGTH = 150_000, 64
+#: Single spaces inside a text: white space on neither side.
+_SPACES = re.compile(r"(?<=\S) (?=\S)")
 #: Pairs whose counts are sent to all tasks (17 bytes each, 36 MB); the counts of rarer pairs are joined.
 BROADCAST_PAIRS = 1 << 21
 BYTE_MARK = "▁"
@@ -60,18 +67,23 @@ class Aligner:
         #: every id as text behind each separator
         self.shown = [mark + i for mark in ";|," for i in ids]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of A and B where both give back the bytes of the text behind a space."""
+        #: a piece with a space behind something else would join words
+        self.cut = not any(BYTE_MARK in p.lstrip(BYTE_MARK) for i, p in enumerate(pieces) if not self.b.is_control(i))
+        self.words: dict[str, tuple | None] = {}
+
+    def encode(self, words: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of A and B where both give back the bytes of the word behind a space."""
         found = []
-        for text, own in zip(texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)):
-            left, right, raw = own.ids, self.b.encode(text), b" " + text.encode()
-            same = (text and b"".join(map(self.bytes_a.__getitem__, left)) == raw
+        coded = self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
+        for word, own, right in zip(words, coded, self.b.encode(words, num_threads=1)):
+            left, raw = own.ids, b" " + word.encode()
+            same = (b"".join(map(self.bytes_a.__getitem__, left)) == raw
                     and b"".join(map(self.bytes_b.__getitem__, right)) == raw)
             found.append((left, right) if same else None)
         return found
 
-    def groups(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(token, side, group) of all tokens, sorted by group, then side, then place."""
+    def groups(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(order, group) of all tokens, those of A before those of B, sorted by group, then side, then place."""
         width = np.concatenate([self.width_a[left], self.width_b[right]])
         ends = np.concatenate([np.cumsum(width[:len(left)]), np.cumsum(width[len(left):])])
         side = np.repeat([0, 1], [len(left), len(right)])
@@ -80,38 +92,67 @@ class Aligner:
         group = np.zeros(len(order), dtype=np.int64)
         np.cumsum((ends - width)[order][1:] >= reach[:-1], out=group[1:])
         by_side = np.lexsort((side[order], group))
-        order, group = order[by_side], group[by_side]
-        return np.concatenate([left, right])[order], side[order], group
+        return order[by_side], group[by_side]
 
     def links(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A and B id of every pair of tokens whose bytes overlap."""
+        """Place in A and place in B of every pair of tokens whose bytes overlap, by place in A."""
         ends_a, ends_b = np.cumsum(self.width_a[left]), np.cumsum(self.width_b[right])
         first = np.searchsorted(ends_b, ends_a - self.width_a[left], "right")
         size = np.searchsorted(ends_b - self.width_b[right], ends_a, "left") - first
         start = np.cumsum(size) - size
-        at = np.arange(size.sum()) - np.repeat(start - first, size)
-        return np.repeat(left, size), right[at]
-
-    def written(self, token: np.ndarray, side: np.ndarray, group: np.ndarray) -> str:
-        """Groups as ``a1,a2|b1;a3|b2,b3``."""
+        return np.repeat(np.arange(len(left)), size), np.arange(size.sum()) - np.repeat(start - first, size)
+
+    def align(self, words: list[str]) -> list[tuple | None]:
+        """(tokens of A, of B, groups, links, groups as text, id pairs) of each word; None where the bytes differ."""
+        coded = self.encode(words)
+        known = [k for k, c in enumerate(coded) if c]
+        out: list[tuple | None] = [None] * len(words)
+        if not known:
+            return out
+        n_a, n_b = ([len(coded[k][side]) for k in known] for side in (0, 1))
+        left, right = (np.concatenate([np.array(coded[k][side], dtype=np.int64) for k in known]) for side in (0, 1))
+        order, group = self.groups(left, right)
+        word = np.concatenate([np.repeat(np.arange(len(known)), n) for n in (n_a, n_b)])[order]
+        shown = self.written(np.concatenate([left, right])[order], (order >= len(left)).astype(np.int64), group)
+        ends = np.searchsorted(word, np.arange(len(known)), "right")
+        a, b = self.links(left, right)
+        pairs = left[a] * len(self.bytes_b) + right[b]
+        link_ends = np.searchsorted(np.repeat(np.arange(len(known)), n_a)[a], np.arange(len(known)), "right")
+        start = link_start = 0
+        for i, (k, end, link_end) in enumerate(zip(known, ends.tolist(), link_ends.tolist())):
+            out[k] = (n_a[i], n_b[i], int(group[end - 1] - group[start]) + 1, link_end - link_start,
+                      "".join(shown[start:end])[1:], pairs[link_start:link_end].tobytes())
+            start, link_start = end, link_end
+        return out
+
+    def documents(self, texts: list[str | None]):
+        """What ``align`` says of each text, its words put together; None without tokens."""
+        cut = [_SPACES.split(t) if t and self.cut else [t] if t else [] for t in texts]
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        new = list({w for words in cut for w in words}.difference(self.words))
+        self.words.update(zip(new, self.align(new)))
+        known = self.words.__getitem__
+        for words in cut:
+            parts = list(map(known, words))
+            if not parts or None in parts:
+                yield None
+            else:
+                n_a, n_b, groups, links, shown, pairs = zip(*parts)
+                yield sum(n_a), sum(n_b), sum(groups), sum(links), ";".join(shown), np.frombuffer(b"".join(pairs), dtype=np.int64)
+        for word in new:
+            if len(word) > CACHED_LENGTH:
+                del self.words[word]
+
+    def written(self, token: np.ndarray, side: np.ndarray, group: np.ndarray) -> list[str]:
+        """Each token as text behind its separator, as in ``;a1,a2|b1;a3|b2,b3``."""
         mark = np.full(len(token), 2)
         mark[1:][side[1:] != side[:-1]] = 1
         mark[1:][group[1:] != group[:-1]] = 0
+        mark[:1] = 0
         ids = len(self.bytes_a) + len(self.bytes_b)
         codes = mark * ids + side * len(self.bytes_a) + token
-        return "".join(map(self.shown.__getitem__, codes.tolist()))[1:]
-
-
-def _portions(texts: list[str | None]):
-    """Runs of rows of about ENCODE_CHARS characters."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text or "") > ENCODE_CHARS:
-            yield start, i
-            start, size = i, 0
-        size += len(text or "")
-    if start < len(texts):
-        yield start, len(texts)
+        return list(map(self.shown.__getitem__, codes.tolist()))
 
 
 def _aligner(shared) -> Aligner:
@@ -123,22 +164,16 @@ def _aligner(shared) -> Aligner:
 def _align(shared, with_groups: bool):
     def run(batches):
         own = _aligner(shared)
-        n_b = len(own.bytes_b)
         nothing = (0, 0, 0, 0, "", [], []) + (("",) if with_groups else ())
         for batch in slices(batches):
-            texts, rows = batch.column(1).to_pylist(), []
-            for start, end in _portions(texts):
-                for found in own.encode([t or "" for t in texts[start:end]]):
-                    if found is None:
-                        rows.append(nothing)
-                        continue
-                    left, right = (np.array(x, dtype=np.int64) for x in found)
-                    token, side, group = own.groups(left, right)
-                    text = own.written(token, side, group)
-                    a, b = own.links(left, right)
-                    pairs, times = np.unique(a * n_b + b, return_counts=True)
-                    rows.append((len(left), len(right), int(group[-1]) + 1, len(a), hashlib.sha256(text.encode()).hexdigest(),
-                                 pairs, times) + ((text,) if with_groups else ()))
+            rows = []
+            for found in own.documents(batch.column(1).to_pylist()):
+                if found is None:
+                    rows.append(nothing)
+                    continue
+                *counts, text, pairs = found
+                rows.append((*counts, hashlib.sha256(text.encode()).hexdigest(), *np.unique(pairs, return_counts=True))
+                            + ((text,) if with_groups else ()))
             columns = list(zip(*rows)) or [()] * len(nothing)
             kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())] + [pa.string()] * with_groups
             names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"] + ["groups"] * with_groups

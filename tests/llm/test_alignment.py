@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -70,6 +71,9 @@ def rows(spark, folder):
     given = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").limit(60).collect()]
     odd = ["", None, " ", "  two  spaces ", "a▁b", "<0x41> <s> </s> <|endoftext|>", "\x00\x01", "naïve café 東京 😀", "\n\t x",
            "é ﬁ ½", "x" * 5_000, " ".join(f"word{i % 90}" for i in range(20_000)), "tie tie tie", "the, and the; and"]
+    rng = random.Random(8)
+    marks = list("aéß東 😀▁1٣'\".,-\n\t\u00a0\u3000\u0301\u200d\x1c\x85") + ["  ", " ", " ", " the", "'s", " x ", "<s>", "\u180e"]
+    odd += ["".join(rng.choices(marks, k=rng.randint(1, 30))) for _ in range(600)]
     return given + [(1_000 + i, t) for i, t in enumerate(odd)] + [(None, "no id"), (None, "no id"), (None, None),
                                                                   (1_012, "tie tie tie"), (1_012, "another text of that id")]
 
@@ -80,7 +84,22 @@ def test_alignment_equals_brute_force(spark, rows, broadcast_pairs):
 
 
 def test_groups_are_returned_as_text(spark, rows):
-    assert result(spark, rows[-20:], "groups", with_groups=True) == brute(rows[-20:], groups=True)
+    assert result(spark, rows[:80], "groups", with_groups=True) == brute(rows[:80], groups=True)
+
+
+def test_forgotten_words_are_aligned_again(spark, rows, monkeypatch):
+    own = alignment.Aligner(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    texts = [t for _, t in rows]
+
+    def taken(found):
+        return [f and (*f[:5], f[5].tolist()) for f in found]
+    whole = taken(own.documents(texts))
+    monkeypatch.setattr(alignment, "CACHED_WORDS", 50)
+    monkeypatch.setattr(alignment, "CACHED_LENGTH", 3)
+    assert [f for t in texts for f in taken(own.documents([t]))] == whole
+    own.cut = False
+    own.words.clear()
+    assert taken(own.documents(texts)) == whole
 
 
 def test_empty_table(spark):
