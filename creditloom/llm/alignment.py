@@ -15,8 +15,10 @@ number of documents that hold a pair, and each A id's best pair, come from that
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,11 @@ from creditloom.llm.memo import per_process, slices, small_batches
 from creditloom.session import materialise
 
 #: Words that a task remembers with their alignment, and their greatest length.
-CACHED_WORDS, CACHED_LENGTH = 150_000, 64
+CACHED_WORDS, CACHED_LENGTH = 300_000, 64
+#: Fixed value: how byte-level vocabularies split a text into pieces.
+PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters whose class no version of Unicode changes: such words may take the faster encoder.
+_PLAIN = re.compile(r"[\n -~À-ɏ]+").fullmatch
 #: Single spaces inside a text: white space on neither side.
 _SPACES = re.compile(r"(?<=\S) (?=\S)")
 #: Pairs whose counts are sent to all tasks (17 bytes each, 36 MB); the counts of rarer pairs are joined.
@@ -40,6 +46,17 @@ FIELDS = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_
           "pairs array<long>, times array<long>")
 
 
+def _merged(entry: str, order: dict[tuple[str, str], int]) -> list[str]:
+    """What the list of merges makes of the symbols of ``entry``."""
+    parts = list(entry)
+    while len(parts) > 1:
+        rank, at = min((order.get(pair, 1 << 60), k) for k, pair in enumerate(zip(parts, parts[1:])))
+        if rank == 1 << 60:
+            break
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    return parts
+
+
 class Aligner:
     """Two tokenizers, the bytes of their tokens, and the groups and links of a text."""
 
@@ -70,17 +87,47 @@ class Aligner:
         #: a piece with a space behind something else would join words
         self.cut = not any(BYTE_MARK in p.lstrip(BYTE_MARK) for i, p in enumerate(pieces) if not self.b.is_control(i))
         self.words: dict[str, tuple | None] = {}
-
-    def encode(self, words: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Ids of A and B where both give back the bytes of the word behind a space."""
-        found = []
-        coded = self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
-        for word, own, right in zip(words, coded, self.b.encode(words, num_threads=1)):
-            left, raw = own.ids, b" " + word.encode()
-            same = (b"".join(map(self.bytes_a.__getitem__, left)) == raw
-                    and b"".join(map(self.bytes_b.__getitem__, right)) == raw)
-            found.append((left, right) if same else None)
-        return found
+        self.quick = self._by_ranks(json.loads(spec_a))
+
+    def _by_ranks(self, spec: dict):
+        """A faster encoder of plain words, if it is sure to give the same ids; else None.
+
+        It joins two tokens whenever the bytes of both are an entry, the entry with the lowest id first, and the library
+        only pairs in its list of merges, the first in the list first. If ids rise along the list and every entry is
+        what the list makes of its own bytes, then whenever two tokens make an entry they are its pair in the list: up
+        to there both have made the same of these bytes. How plain words are split doesn't depend on Unicode tables.
+        """
+        import tiktoken
+        model = spec["model"]
+        vocab, merges = model["vocab"], [m if isinstance(m, (list, tuple)) else m.split(" ") for m in model["merges"]]
+        made = [vocab[x + y] for x, y in merges]
+        splitter = spec["pre_tokenizer"]
+        if (made != sorted(made) or model.get("ignore_merges") or model.get("dropout") or spec["normalizer"] is not None
+                or splitter.get("type") != "ByteLevel" or splitter.get("add_prefix_space") or not splitter.get("use_regex", True)):
+            return None
+        special = {t["content"] for t in spec["added_tokens"]}
+        ranks = {self.bytes_a[i]: i for t, i in vocab.items() if t not in special}
+        order = {(x, y): k for k, (x, y) in enumerate(merges)}
+        if not all(_merged(x + y, order) == [x + y] for x, y in merges):
+            return None
+        return tiktoken.Encoding("byte-level", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        """Ids of A and of B of each word, and whether both give back the bytes of the word behind a space."""
+        quick = self.quick
+        plain = [quick is not None and _PLAIN(w) is not None for w in words]
+        rest = iter(self.a.encode_batch_fast([" " + w for w, p in zip(words, plain) if not p], add_special_tokens=False))
+        left = [quick(" " + w) if p else next(rest).ids for w, p in zip(words, plain)]
+        right = self.b.encode(words, num_threads=1)
+        same = [True] * len(words)
+        raw = (" " + " ".join(words)).encode()
+        for ids, entries, widths in ((left, self.bytes_a, self.width_a), (right, self.bytes_b, self.width_b)):
+            # all at once: the same bytes in all, and as many in each word; only where that fails one by one
+            ends = np.cumsum(widths[np.fromiter(chain.from_iterable(ids), dtype=np.int64)])[np.cumsum(list(map(len, ids))) - 1]
+            if b"".join(map(entries.__getitem__, chain.from_iterable(ids))) != raw or not np.array_equal(
+                    ends, np.cumsum([len(w.encode()) + 1 for w in words])):
+                same = [s and b"".join(map(entries.__getitem__, i)) == b" " + w.encode() for s, i, w in zip(same, ids, words)]
+        return left, right, same
 
     def groups(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(order, group) of all tokens, those of A before those of B, sorted by group, then side, then place."""
@@ -102,44 +149,45 @@ class Aligner:
         start = np.cumsum(size) - size
         return np.repeat(np.arange(len(left)), size), np.arange(size.sum()) - np.repeat(start - first, size)
 
-    def align(self, words: list[str]) -> list[tuple | None]:
-        """(tokens of A, of B, groups, links, groups as text, id pairs) of each word; None where the bytes differ."""
-        coded = self.encode(words)
-        known = [k for k, c in enumerate(coded) if c]
+    def align(self, words: list[str]) -> list[tuple[int, str, bytes] | None]:
+        """(tokens of A, groups as text, linked id pairs) of each word; None where the bytes differ."""
         out: list[tuple | None] = [None] * len(words)
-        if not known:
+        if not words:
             return out
-        n_a, n_b = ([len(coded[k][side]) for k in known] for side in (0, 1))
-        left, right = (np.concatenate([np.array(coded[k][side], dtype=np.int64) for k in known]) for side in (0, 1))
+        left_ids, right_ids, same = self.encode(words)
+        known = [k for k, s in enumerate(same) if s]
+        n_a, n_b = ([len(ids[k]) for k in known] for ids in (left_ids, right_ids))
+        left, right = (np.fromiter(chain.from_iterable(ids[k] for k in known), dtype=np.int64) for ids in (left_ids, right_ids))
         order, group = self.groups(left, right)
-        word = np.concatenate([np.repeat(np.arange(len(known)), n) for n in (n_a, n_b)])[order]
         shown = self.written(np.concatenate([left, right])[order], (order >= len(left)).astype(np.int64), group)
-        ends = np.searchsorted(word, np.arange(len(known)), "right")
         a, b = self.links(left, right)
-        pairs = left[a] * len(self.bytes_b) + right[b]
-        link_ends = np.searchsorted(np.repeat(np.arange(len(known)), n_a)[a], np.arange(len(known)), "right")
+        pairs = (left[a] * len(self.bytes_b) + right[b]).tobytes()
+        # groups and links lie word after word
+        ends = np.cumsum(np.array(n_a, dtype=np.int64) + np.array(n_b, dtype=np.int64)).tolist()
+        link_ends = (8 * np.searchsorted(a, np.cumsum(n_a, dtype=np.int64), "left")).tolist()
         start = link_start = 0
-        for i, (k, end, link_end) in enumerate(zip(known, ends.tolist(), link_ends.tolist())):
-            out[k] = (n_a[i], n_b[i], int(group[end - 1] - group[start]) + 1, link_end - link_start,
-                      "".join(shown[start:end])[1:], pairs[link_start:link_end].tobytes())
+        for k, n, end, link_end in zip(known, n_a, ends, link_ends):
+            out[k] = n, "".join(shown[start:end])[1:], pairs[link_start:link_end]
             start, link_start = end, link_end
         return out
 
     def documents(self, texts: list[str | None]):
-        """What ``align`` says of each text, its words put together; None without tokens."""
+        """(tokens of A, of B, groups, groups as text, linked id pairs) of each text, from its words; None without tokens."""
         cut = [_SPACES.split(t) if t and self.cut else [t] if t else [] for t in texts]
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        new = list({w for words in cut for w in words}.difference(self.words))
+        new = list(set().union(*cut).difference(self.words))
         self.words.update(zip(new, self.align(new)))
         known = self.words.__getitem__
         for words in cut:
             parts = list(map(known, words))
             if not parts or None in parts:
                 yield None
-            else:
-                n_a, n_b, groups, links, shown, pairs = zip(*parts)
-                yield sum(n_a), sum(n_b), sum(groups), sum(links), ";".join(shown), np.frombuffer(b"".join(pairs), dtype=np.int64)
+                continue
+            n_a, shown, pairs = zip(*parts)
+            left, text = sum(n_a), ";".join(shown)
+            groups = text.count(";") + 1  # each holds one bar, and a comma between any two tokens of a side
+            yield left, text.count(",") + 2 * groups - left, groups, text, np.frombuffer(b"".join(pairs), dtype=np.int64)
         for word in new:
             if len(word) > CACHED_LENGTH:
                 del self.words[word]
@@ -172,7 +220,7 @@ def _align(shared, with_groups: bool):
                     rows.append(nothing)
                     continue
                 *counts, text, pairs = found
-                rows.append((*counts, hashlib.sha256(text.encode()).hexdigest(), *np.unique(pairs, return_counts=True))
+                rows.append((*counts, len(pairs), hashlib.sha256(text.encode()).hexdigest(), *np.unique(pairs, return_counts=True))
                             + ((text,) if with_groups else ()))
             columns = list(zip(*rows)) or [()] * len(nothing)
             kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())] + [pa.string()] * with_groups
