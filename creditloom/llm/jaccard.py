@@ -4,13 +4,16 @@ Each text becomes its set of 5-word shingle hashes; equal sets form one class. A
 shingles outside the list of frequent ones first (by hash), then the frequent ones by rising count. Two sets of
 similarity t share an element among the first n - ceil(t*n) + 1, so only these prefixes are dealt out by token.
 
-Candidates come from two rounds over the tokens that several classes share:
+Candidates come from rounds over the tokens that several classes share:
 
 1. star: in each token's bucket every class meets one leader, the class with the fewest rare shingles. Members of a
    large group of near copies are joined to its centre by a number of pairs linear in the group.
-2. cross: classes of one bucket that are not yet in one component meet each other.
+2. centre: the largest component among a token's classes, over all its buckets, sends its class with the fewest rare
+   shingles to meet every class of the token that is in another component. This is repeated while it links any, and
+   takes in copies that lay too far from their own bucket's leader, again by one pair a class and token.
+3. cross: classes of one token that are still not in one component meet each other.
 
-A link inside a component changes no component, so both rounds together lose none that matters. A pair passes the length
+A link inside a component changes no component, so all rounds together lose none that matters. A pair passes the length
 filter, the positional filter (what can still follow the shared token in both) and the suffix filter (shingle counts
 in 64 parts of the hash space bound the symmetric difference from below), is made once and verified once on whole sets.
 """
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditloom.llm.components import connected_components
@@ -120,8 +123,8 @@ def _profiler(shared, percent: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(loose, pa.int64()), pa.array(rares, pa.int64()),
-                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(parts, pa.binary())],
-                ["doc_id", "sid", "n", "loose", "rare", "prefix", "parts"])
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(parts, pa.binary()), batch.column(2)],
+                ["doc_id", "sid", "n", "loose", "rare", "prefix", "parts", "mark"])
     return run
 
 
@@ -147,11 +150,12 @@ def _digest(found: np.ndarray) -> bytes:
 
 
 def profiles(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, sid, n, loose, rare, prefix, parts): sid names the shingle set, null for an empty one."""
+    """(doc_id, sid, n, loose, rare, prefix, parts, mark): sid names the shingle set, null for an empty one, mark the text."""
     keep = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs))
-    return materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _mark(F.col("text")).alias("mark"))
+    return materialise(rows.mapInArrow(
         _profiler(keep, percent), "doc_id long, sid long, n long, loose long, rare long, prefix array<long>, "
-                                  "parts binary"), "profiles")
+                                  "parts binary, mark string"), "profiles")
 
 
 def _buckets(profile: DataFrame) -> DataFrame:
@@ -192,13 +196,27 @@ def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     return near.unionByName(between).distinct()
 
 
-def _cross_pairs(buckets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    groups = _small(materialise(groups, "groups"))
-    rows = (buckets.select("token", "sid", "n", "pos").join(groups, F.col("sid") == F.col("node"), "left")
-            .select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("grp")))
+def _open_rows(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows, with their component, of tokens whose classes are in several."""
+    rows = (buckets.select("token", "sid", "n", "pos", "loose").join(_small(groups), F.col("sid") == F.col("node"), "left")
+            .select("token", "sid", "n", "pos", "loose", F.coalesce("component", "sid").alias("grp")))
     mixed = (rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
              .where("low <> high").select("token"))
-    open_rows = materialise(rows.join(_small(materialise(mixed, "mixed")), "token"), "open")
+    return materialise(rows.join(_small(materialise(mixed, "mixed")), "token"), "open")
+
+
+def _centre_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b): a stands for the largest component among a token's classes, b is a class outside of it."""
+    within = open_rows.groupBy("token", "grp").agg(
+        F.count("*").alias("size"), F.min_by(F.struct("sid", "n", "pos"), F.struct("loose", "sid")).alias("head"))
+    best = materialise(within.groupBy("token").agg(F.max_by(F.struct("grp", "head"), F.struct("size", "grp")).alias("top")), "centres")
+    return (open_rows.join(_small(best), "token").where("grp <> top.grp")
+            .select("sid", "n", "pos", F.col("top.head.sid").alias("a"), F.col("top.head.n").alias("a_n"),
+                    F.col("top.head.pos").alias("a_pos"))
+            .where(_may_link("n", "pos", "a_n", "a_pos", percent)).select("a", F.col("sid").alias("b")).distinct())
+
+
+def _cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     x = open_rows.select("token", F.col("sid").alias("a"), F.col("n").alias("n1"), F.col("pos").alias("p1"),
                          F.col("grp").alias("g1"))
     y = open_rows.select("token", F.col("sid").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("p2"),
@@ -278,6 +296,42 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
                        .mapInArrow(_verifier(percent), "a long, b long").distinct(), "links")
 
 
+def _linked(buckets: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of all classes that have a link."""
+    links = _verified(_star_pairs(buckets, percent), classes, docs, percent)
+    tried = None
+    while True:
+        groups = materialise(connected_components(links), "groups")
+        open_rows = _open_rows(buckets, groups)
+        pairs = materialise(_centre_pairs(open_rows, percent), "centre-pairs")
+        fresh = pairs if tried is None else materialise(pairs.join(tried, ["a", "b"], "left_anti"), "fresh-pairs")
+        found = _verified(fresh, classes, docs, percent) if not fresh.isEmpty() else None
+        if found is None or found.isEmpty():
+            break
+        links = links.unionByName(found)
+        tried = pairs if tried is None else tried.unionByName(fresh)
+    cross = _verified(_cross_pairs(open_rows, percent), classes, docs, percent)
+    return groups if cross.isEmpty() else materialise(connected_components(links.unionByName(cross)), "groups")
+
+
+def _grouped(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The profiles of ``docs`` and, for each class, sid, n_class, component_id and stays: the class of its first document."""
+    small_batches(docs.sparkSession)
+    profile = profiles(docs, percent)
+    has_id = profile.where("doc_id is not null and sid is not null")
+    classes = materialise(has_id.groupBy("sid").agg(
+        F.min("doc_id").alias("first_id"), F.count("*").alias("n_class"), F.max("n").alias("n"),
+        F.max("parts").alias("parts")), "classes")
+    groups = _linked(_buckets(profile), classes, docs, percent)
+    # only classes with a link have to look their group up; the others are groups of their own
+    linked = classes.join(_small(groups), F.col("sid") == F.col("node")).select("sid", "first_id", "component")
+    first = materialise(linked.groupBy("component").agg(F.min(F.struct("first_id", "sid")).alias("first")), "first")
+    named = materialise(linked.join(_small(first), "component").select(
+        "sid", F.col("first.first_id").alias("component_id"), F.col("first.sid").alias("stays")), "named")
+    return profile, classes.select("sid", "first_id", "n_class").join(_small(named), "sid", "left").select(
+        "sid", "n_class", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("stays", "sid").alias("stays"))
+
+
 def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, n_class for every row of ``docs`` (doc_id, text; others are ignored).
 
@@ -285,21 +339,7 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows with the very same set. A null or wordless text has no shingle and is linked with nothing; a row without
     doc_id has a null component_id and links nothing. Rows that repeat a doc_id are judged each by its own text.
     """
-    small_batches(docs.sparkSession)
-    profile = profiles(docs, percent)
-    has_id = profile.where("doc_id is not null and sid is not null")
-    classes = materialise(has_id.groupBy("sid").agg(
-        F.min("doc_id").alias("first_id"), F.count("*").alias("n_class"), F.max("n").alias("n"),
-        F.max("parts").alias("parts")), "classes")
-    buckets = _buckets(profile)
-    star = _verified(_star_pairs(buckets, percent), classes, docs, percent)
-    groups = connected_components(star)
-    cross = _verified(_cross_pairs(buckets, groups, percent), classes, docs, percent)
-    groups = connected_components(star.unionByName(cross))
-    labelled = classes.join(groups, F.col("sid") == F.col("node"), "left").select(
-        "sid", "first_id", "n_class", F.coalesce("component", "sid").alias("grp"))
-    lowest = labelled.groupBy("grp").agg(F.min("first_id").alias("component_id"))
-    named = labelled.join(lowest, "grp").select("sid", "component_id", "n_class")
+    profile, named = _grouped(docs, percent)
     return profile.select("doc_id", "sid", F.col("n").alias("n_shingles")).join(named, "sid", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
@@ -307,19 +347,32 @@ def similar_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the rows whose group has a smaller doc_id; a repeated doc_id stays once.
+    """One row of each group of similar texts, with the columns of ``docs``.
 
-    Rows without doc_id stay. Columns are those of ``docs``.
+    The row with the smallest doc_id stays; of rows that share this id the class that sorts first, and of these the text
+    that does. Each row is judged by its doc_id and text together, so a row is never lost for what another row of its id
+    holds, and of wholly repeated rows one stays. Rows without doc_id or without a word are in no group and stay.
     """
-    verdict = similar_groups(docs, percent)
-    gone = materialise(verdict.where("doc_id is not null and doc_id <> component_id").select("doc_id")
-                       .distinct(), "gone")
-    again = materialise(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
-                        .select("doc_id"), "again")
-    kept = docs.join(_small(gone), "doc_id", "left_anti")
-    single = kept.join(_small(again), "doc_id", "left_anti")
-    double = kept.join(_small(again), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(double).select(*docs.columns)
+    profile, named = _grouped(docs, percent)
+    grouped = (profile.where("doc_id is not null and sid is not null").select("doc_id", "sid", "mark")
+               .join(named.select("sid", "component_id", "stays"), "sid"))
+    heads = materialise(grouped.where("doc_id = component_id and sid = stays").groupBy("doc_id", "sid").agg(
+        F.min("mark").alias("mark"), F.count("*").alias("n")), "heads")
+    kept = heads.select("doc_id", F.col("mark").alias("kept_mark")).distinct()
+    gone = materialise(grouped.select("doc_id", "mark").distinct().join(
+        kept, (grouped["doc_id"] == kept["doc_id"]) & (F.col("mark") == F.col("kept_mark")), "left_anti"), "gone")
+    again = materialise(heads.where("n > 1").select("doc_id", "mark"), "again")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), _mark(F.col("text")).alias("mark"))
+    rows = rows.join(_small(gone), ["doc_id", "mark"], "left_anti")
+    single = rows.join(_small(again), ["doc_id", "mark"], "left_anti")
+    double = rows.join(_small(again), ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"])
+    return single.unionByName(double).select("row.*")
+
+
+def _mark(text: Column) -> Column:
+    """128 bits that stand for a text, null included."""
+    text = F.coalesce(text, F.lit(""))
+    return F.concat(F.hex(F.xxhash64(text)), F.lit("-"), F.hex(F.xxhash64(F.lit("second"), text)))
 
 
 def _small(keys: DataFrame) -> DataFrame:
