@@ -123,6 +123,29 @@ _CLEAN_OUT = ("loan_id, \"default\", issue_d, cr_history_months, " + ", ".join(f
               + ", " + ", ".join(frames.TEXT))
 
 
+_STORED = frames.PREP + f""",
+caps AS (SELECT {", ".join(f"quantile_cont({c}, 0.99) AS cap_{c}" for c in frames._CAPPED)} FROM fit WHERE is_fit),
+capped AS (SELECT fit.* REPLACE ({", ".join(frames._within(c, "0.0::DOUBLE", "cap_" + c) + f" AS {c}" for c in frames._CAPPED)})
+           FROM fit CROSS JOIN caps),
+med AS (SELECT {", ".join(f"median({c}) AS m_{c}" for c in frames.NUMERIC)},
+        {", ".join(f"count({c}) < count(*) AS gaps_{c}" for c in frames.NUMERIC)} FROM capped WHERE is_fit),
+cleaned AS (SELECT loan_id, "default", issue_d, cr_history_months,
+  {", ".join(f"CAST(coalesce({c}, CASE WHEN gaps_{c} THEN m_{c} END) AS FLOAT) AS {c}" for c in frames.NUMERIC)},
+  {", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in frames.TEXT)} FROM capped CROSS JOIN med WHERE NOT is_fit)
+"""
+
+
+@check("b16_apply_stored", _STORED + f"SELECT {_CLEAN_OUT} FROM cleaned")
+def b16_apply_stored(spark, d):
+    """A fit learned on the training window, stored, and applied to raw loans that came later."""
+    from creditloom.session import fresh_path
+    path, early = fresh_path(spark, "cleaning-fit"), F.col("issue_d") < F.lit(frames.TRAIN_END).cast("date")
+    raw = frames.raw(spark, d)
+    cleaning.save_cleaning(cleaning.fit_cleaning(cleaning.prepare(raw, frames.REFERENCE_DATE), early), spark, path)
+    later = cleaning.clean(raw, frames.REFERENCE_DATE, cleaning.load_cleaning(spark, path))
+    return later.filter(~early)
+
+
 @check("b16_clean", frames.CLEANED + f"SELECT {_CLEAN_OUT} FROM cleaned")
 def b16(spark, d):
     return frames.cleaned(spark, d)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import frames, learned
 from checks.registry import check, rounded
+from checks.section_models import _kept, _promise
 from creditloom.functions import wording
 from creditloom.operators import attribution, explanation, scoring
 
@@ -51,14 +52,48 @@ def l1(spark, d):
     return rounded(rounded(out, 6, "value"), 9, "contribution")
 
 
-@check("l2_tree_attribution")
+@check("l2_tree_attribution", frames.PREP + "SELECT loan_id, true AS margin_is_rebuilt, true AS groups_add_up FROM fit WHERE split = 'test'")
 def l2(spark, d):
+    """Base value and contributions give the model's probability, and walking the trees in groups changes nothing."""
     model = learned.boosted(spark, d)
     test = learned.features(spark, d).filter("split = 'test'")
-    out, base = attribution.tree_contributions(test, model.pipeline, model.features)
-    total = F.aggregate("drivers", F.lit(base), lambda s, x: s + x["contribution"])
+
+    def margins(name, **how):
+        out, base = attribution.tree_contributions(test, model.pipeline, model.features, **how)
+        return out.select("loan_id", F.aggregate("drivers", F.lit(base), lambda s, x: s + x["contribution"]).alias(name))
     pd = scoring.predict(test, model, keep=["loan_id"])
-    return out.select("loan_id", (1 / (1 + F.exp(-2 * total))).alias("rebuilt_pd")).join(pd, "loan_id")
+    both = margins("whole").join(margins("grouped", most=400), "loan_id").join(pd, "loan_id")
+    return both.select("loan_id", (F.abs(1 / (1 + F.exp(-2 * F.col("whole"))) - F.col("pd")) < 1e-9).alias("margin_is_rebuilt"),
+                       (F.abs(F.col("whole") - F.col("grouped")) < 1e-9).alias("groups_add_up"))
+
+
+@check("l3_trained_importance", _promise("importance_is_the_mean", "ranks_follow", "all_features_explained"))
+def l3_trained(spark, d):
+    """The ranked features of a trained model, against the mean of its contributions taken one by one."""
+    done = learned.explained(spark, d)
+    rows = done.importance.collect()
+    plain = {r["feature"]: r["a"] for r in attribution.to_long(done.attributed).groupBy("feature").agg(
+        F.avg(F.abs("contribution")).alias("a")).collect()}
+    order = sorted(plain, key=lambda f: (-plain[f], f))[:30]
+    return _kept(learned.features(spark, d).filter("split = 'test'"),
+                 importance_is_the_mean=all(abs(r["mean_abs_contribution"] - plain[r["feature"]]) < 1e-12 for r in rows),
+                 ranks_follow=[r["feature"] for r in sorted(rows, key=lambda r: r["rank"])] == order,
+                 all_features_explained=all(r["business_interpretation"] and r["direction_note"] for r in rows))
+
+
+@check("l8_trained_text", frames.PREP + "SELECT loan_id, \"default\", true AS drivers_are_strongest, true AS text_tells_them FROM fit WHERE split = 'test'")
+def l8_trained(spark, d):
+    """Every test loan's text of a trained model: its drivers are the strongest of their side, and all of them are told."""
+    done = learned.explained(spark, d)
+    side = lambda sign: F.slice(F.reverse(F.array_sort(F.transform(F.filter(
+        "drivers", lambda x: x["contribution"] * sign > 0), lambda x: F.abs(x["contribution"])))), 1, 5)
+    shown = lambda c: F.transform(c, lambda x: F.abs(x["contribution"]))
+    told = F.concat(F.transform("top_positive_drivers", lambda x: x["explanation"]),
+                    F.transform("top_negative_drivers", lambda x: x["explanation"]))
+    both = done.loans.join(done.attributed.select("loan_id", side(1).alias("up"), side(-1).alias("down")), "loan_id")
+    return both.select("loan_id", "default", ((shown("top_positive_drivers") == F.col("up")) & (shown("top_negative_drivers") == F.col("down")))
+                       .alias("drivers_are_strongest"),
+                       F.forall(told, lambda t: F.contains(F.col("explanation_text"), t)).alias("text_tells_them"))
 
 
 def _importance(spark, d):

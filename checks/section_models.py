@@ -1,14 +1,18 @@
 """G: training and comparison."""
 
+import json
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from checks import frames, learned
 from checks.registry import check, rounded
 from checks.section_metrics import _log_loss
-from creditloom.operators import metrics, models, scoring
+from creditloom.operators import encoding, metrics, models, scoring, thresholds
 
 COLS = ("loan_amnt", "int_rate", "fico_range_low")
-SMALL = {"trees": 6, "depth": 3, "step": 0.2}
 
 
 @check("g1_standardise", frames.PREP + ", s AS (SELECT " + ", ".join(
@@ -21,18 +25,77 @@ def g1(spark, d):
     return rounded(models.standardise(df, fitted).select("loan_id", *COLS), 6, *COLS)
 
 
-def _test_pd(spark, d, model):
-    return scoring.predict(learned.features(spark, d).filter("split = 'test'"), model, keep=["loan_id", "default"])
+def _promise(*names):
+    """Oracle of a check that holds a trained model to what it promises: the window's loans, and every promise kept."""
+    return (frames.PREP + "SELECT split, count(*) AS loans, " + ", ".join(f"true AS {n}" for n in names)
+            + " FROM fit WHERE split = 'test' GROUP BY split")
+
+
+def _kept(scored, **facts):
+    """One row: the loans scored and, for each promise, whether it holds; a plain value or an aggregate."""
+    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("loans"), *[
+        (v if isinstance(v, Column) else F.lit(bool(v))).alias(n) for n, v in facts.items()])
+
+
+def _scored(spark, d, model):
+    return scoring.predict(learned.features(spark, d).filter("split = 'test'"), model, keep=["loan_id", "default", "split"])
+
+
+_PROBABILITY = F.coalesce(F.bool_and(F.col("pd").between(0, 1) & ~F.isnan("pd")), F.lit(False))
+
+
+def gradient(rows, model, penalty, weight="class_weight"):
+    """Largest entry of the loss's gradient at a logistic pipeline's coefficients, intercept included."""
+    fitted = next(s for s in model.pipeline.stages if hasattr(s, "coefficients"))
+    scored = model.pipeline.transform(rows)
+    x, w = vector_to_array(fitted.getFeaturesCol()), F.col(weight) if weight else F.lit(1.0)
+    off = w * (vector_to_array(fitted.getProbabilityCol())[1] - F.col("default"))
+    row = scored.agg(F.sum(w).alias("n"), F.sum(off).alias("at0"),
+                     *[F.sum(off * x[j]).alias(f"g{j}") for j in range(len(fitted.coefficients))]).first()
+    parts = [row[f"g{j}"] / row["n"] + penalty * float(c) for j, c in enumerate(fitted.coefficients)]
+    return max(map(abs, [row["at0"] / row["n"], *parts]))
+
+
+def _weighted(rows):
+    weights = encoding.class_weights(rows)
+    return encoding.add_class_weight(rows, weights), 1.0 / (weights.negatives + weights.positives)
 
 
-@check("g2_logistic_regression")
+def auc_by_ranks(scored):
+    """ROC-AUC from mean ranks, another way than the operator's."""
+    ranks = scored.select("default", (F.rank().over(Window.orderBy("pd")) + (
+        F.count(F.lit(1)).over(Window.partitionBy("pd")) - 1) / 2).alias("r"))
+    row = ranks.agg(F.sum(F.when(F.col("default") == 1, F.col("r"))).alias("r"), F.sum("default").alias("p"),
+                    F.count(F.lit(1)).alias("n")).first()
+    return (row["r"] - row["p"] * (row["p"] + 1) / 2) / (row["p"] * (row["n"] - row["p"]))
+
+
+def _auc_facts(scored):
+    """The operator's ROC-AUC is that of the ranks, and the model tells good from bad."""
+    by_operator = metrics.roc_auc(scored).first()["roc_auc"]
+    return {"auc_is_that_of_ranks": abs(by_operator - auc_by_ranks(scored)) < 1e-9, "separates": by_operator > 0.55}
+
+
+@check("g2_logistic_regression", _promise("converged", "probabilities"))
 def g2(spark, d):
-    return _test_pd(spark, d, learned.logistic(spark, d))
+    model = learned.logistic(spark, d)
+    rows, penalty = _weighted(learned.train_rows(spark, d))
+    return _kept(_scored(spark, d, model), converged=gradient(rows, model, penalty) < 1e-4, probabilities=_PROBABILITY)
 
 
-@check("g3_two_feature_baseline")
+@check("g3_two_feature_baseline", _promise("converged", "uplift_is_the_difference", "figures_are_those_of_its_scores"))
 def g3(spark, d):
-    return models.baseline(learned.features(spark, d), {"roc_auc": 0.7, "pr_auc": 0.4})[1]
+    features = learned.features(spark, d)
+    tuned = metrics.all_metrics(_scored(spark, d, learned.boosted(spark, d))).first().asDict()
+    model, row = models.baseline(features, tuned)
+    row, scored = row.first(), _scored(spark, d, model)
+    rows, penalty = _weighted(learned.train_rows(spark, d))
+    own = metrics.all_metrics(scored).first()
+    return _kept(scored, converged=gradient(rows, model, penalty) < 1e-4,
+                 uplift_is_the_difference=abs(row["test_roc_auc_delta"] - (tuned["roc_auc"] - own["roc_auc"])) < 2e-5
+                 and abs(row["test_pr_auc_delta"] - (tuned["pr_auc"] - own["pr_auc"])) < 2e-5,
+                 figures_are_those_of_its_scores=all(abs(row[f"test_{m}"] - own[m]) < 1e-5
+                                                     for m in ("roc_auc", "pr_auc", "ks_stat", "log_loss")))
 
 
 VARIANTS = {"raw": "pd", "sigmoid": "pd * 0.9 + 0.02", "isotonic": "floor(pd * 20) / 20 + 0.01"}
@@ -72,49 +135,110 @@ def g4(spark, d):
     return models.uplift(compared(spark, d).withColumnRenamed("variant", "model"), "isotonic")
 
 
-@check("g5_random_forest")
+@check("g5_random_forest", _promise("auc_is_that_of_ranks", "separates", "trees_as_planned"))
 def g5(spark, d):
-    trained = models.train(learned.train_rows(spark, d), "random_forest", learned.columns(spark, d), trees=10, depth=5)
-    return _test_pd(spark, d, trained.model)
+    model = learned.forest(spark, d)
+    scored = _scored(spark, d, model)
+    return _kept(scored, **_auc_facts(scored), trees_as_planned=model.pipeline.stages[-1].getNumTrees
+                 == models.COMPARISON["random_forest"][1]["trees"])
 
 
-@check("g6_boosted_trees")
+@check("g6_boosted_trees", _promise("auc_is_that_of_ranks", "separates", "trees_as_planned"))
 def g6(spark, d):
-    return _test_pd(spark, d, learned.boosted(spark, d))
+    model = learned.boosted(spark, d)
+    scored = _scored(spark, d, model)
+    return _kept(scored, **_auc_facts(scored), trees_as_planned=model.pipeline.stages[-1].getNumTrees == learned.TREES)
 
 
-@check("g7_early_stop")
+@check("g7_early_stop", frames.PREP + "SELECT count(*) AS loans, true AS best_is_first_maximum, true AS patience_ran_out_or_trees_did, "
+       "true AS auc_is_that_of_the_cut_model, true AS later_stages_are_not_better FROM fit WHERE split = 'validation'")
 def g7(spark, d):
-    trained = models.fit_with_early_stop(learned.features(spark, d), learned.columns(spark, d), 0.02, **SMALL)
-    return _test_pd(spark, d, trained.model)
-
-
-_SPACE = {"depth": (2, 4, False), "min_rows": (10, 100, False), "step": (0.05, 0.3, True)}
-
-
-@check("g8_search")
+    """What early stopping promises, held against the ROC-AUC of the cut model's own scores."""
+    stopped = learned.stopped(spark, d)
+    validation = learned.features(spark, d).filter("split = 'validation'")
+    scored = scoring.predict(validation, stopped.model, keep=["default"])
+    row = {r["stage"]: r for r in stopped.stages.collect()}
+    tried = [r for r in row.values() if r["went_on"]]
+    best = max(tried, key=lambda r: (r["roc_auc"], -r["stage"]))
+    last = max(r["stage"] for r in tried)
+    facts = {"best_is_first_maximum": best["stage"] == stopped.best_stage,
+             "patience_ran_out_or_trees_did": last - best["stage"] == learned.PATIENCE or last == max(row),
+             "later_stages_are_not_better": all(r["roc_auc"] <= stopped.roc_auc for r in tried)}
+    again = metrics.roc_auc(scored).first()["roc_auc"]
+    facts["auc_is_that_of_the_cut_model"] = abs(again - stopped.roc_auc) < 1e-9
+    return scored.agg(F.count(F.lit(1)).alias("loans")).select("loans", *[F.lit(v).alias(n) for n, v in facts.items()])
+
+
+@check("g8_search", _promise("draws_follow_the_seed", "a_third_goes_on", "the_best_go_on", "best_is_the_maximum"))
 def g8(spark, d):
-    return models.search(learned.features(spark, d), learned.columns(spark, d), 2, trees=3, space=_SPACE)
+    """The rungs of the search: who was drawn, who went on, and who won."""
+    trials = learned.tuned(spark, d).trials
+    rows = [r.asDict() for r in trials.collect()]
+    rungs = [sorted((r for r in rows if r["rung"] == k), key=lambda r: r["trial"]) for k in range(len(learned.RUNGS))]
+    drawn = models.draw_trials(len(rungs[0]), models.SEED, learned.SPACE)
+    went = [[r["trial"] for r in sorted(x, key=lambda r: (-r["val_roc_auc"], r["trial"]))][:max(1, len(x) // 3)] for x in rungs]
+    best = models.best_trial(trials)
+    return _kept(_scored(spark, d, learned.tuned(spark, d).model),
+                 draws_follow_the_seed=all({k: v for k, v in json.loads(r["parameters"]).items() if k != "trees"} == drawn[r["trial"]]
+                                           for r in rows),
+                 a_third_goes_on=[len(x) for x in rungs] == [9, 3, 1],
+                 the_best_go_on=all(sorted(went[k]) == [r["trial"] for r in rungs[k + 1]] for k in range(len(rungs) - 1)),
+                 best_is_the_maximum=best == json.loads(max(rungs[-1], key=lambda r: r["val_roc_auc"])["parameters"]))
+
+
+@check("g9_refit", _promise("auc_is_that_of_ranks", "separates", "trees_of_the_best_stage", "rows_of_both_windows"))
+def g9(spark, d):
+    tuned = learned.tuned(spark, d)
+    scored, run = _scored(spark, d, tuned.model), tuned.run.first()
+    both = learned.features(spark, d).filter("split <> 'test'").count()
+    return _kept(scored, **_auc_facts(scored),
+                 trees_of_the_best_stage=tuned.model.pipeline.stages[-1].getNumTrees == tuned.stopped.best_stage,
+                 rows_of_both_windows=run["n_train"] + run["n_validation"] == both)
 
 
-@check("g9_refit")
-def g9(spark, d):
-    trained = models.refit(learned.features(spark, d), learned.columns(spark, d), SMALL)
-    return _test_pd(spark, d, trained.model)
+def _figures_hold(scored, row, threshold):
+    """The stored figures are those of the model's scores at its threshold."""
+    own = models.evaluate(scored, threshold)
+    return all(abs(row[n] - own[m]) < 2e-6 for n, m in (
+        ("test_roc_auc", "roc_auc"), ("test_avg_precision", "pr_auc"), ("test_f1", "f1"), ("test_brier", "brier")))
 
 
-@check("g10_train_and_evaluate")
+@check("g10_train_and_evaluate", _promise("auc_is_that_of_ranks", "separates", "figures_hold", "threshold_is_best_of_validation"))
 def g10(spark, d):
-    model, run = models.train_and_evaluate(learned.features(spark, d), "boosted_trees", learned.columns(spark, d), **SMALL)
-    return run.select("model_type", "threshold", "test_roc_auc", "test_avg_precision", "test_f1", "test_brier")
+    model, row = learned.evaluated(spark, d)
+    scored = _scored(spark, d, model)
+    validation = scoring.predict(learned.features(spark, d).filter("split = 'validation'"), model, keep=["default"])
+    best = thresholds.best_f1(validation).first()["threshold"]
+    return _kept(scored, **_auc_facts(scored), figures_hold=_figures_hold(scored, row.first(), model.threshold),
+                 threshold_is_best_of_validation=best == model.threshold)
 
 
-@check("g11_compare_models")
+@check("g11_compare_models", _promise("all_models", "best_first", "figures_hold"))
 def g11(spark, d):
-    plan = {"baseline_two_features": ("logistic_regression", {"scaled": True}),
-            "random_forest": ("random_forest", {"trees": 8, "depth": 4}),
-            "boosted_trees": ("boosted_trees", {"trees": 4, "depth": 3, "step": 0.2})}
-    return models.compare_models(learned.features(spark, d), learned.columns(spark, d), plan=plan)
+    """The whole plan of models; the forest's row is measured again from its own scores."""
+    rows = learned.comparison(spark, d).results.collect()
+    scored = _scored(spark, d, learned.forest(spark, d))
+    own, forest = metrics.all_metrics(scored).first(), next(r for r in rows if r["model"] == "random_forest")
+    return _kept(scored, all_models=sorted(r["model"] for r in rows) == sorted(learned.PLAN),
+                 best_first=[r["roc_auc"] for r in rows] == sorted((r["roc_auc"] for r in rows), reverse=True),
+                 figures_hold=abs(forest["roc_auc"] - own["roc_auc"]) < 1e-6 and abs(forest["pr_auc"] - own["pr_auc"]) < 1e-6
+                 and abs(forest["brier_score"] - own["brier"]) < 1e-6)
+
+
+@check("g11_summary", _promise("ranking_is_the_highest", "calibrated_is_the_lowest_brier", "uplift_is_over_the_baseline"))
+def g11_summary(spark, d):
+    """Summary and uplift of the trained models."""
+    done = learned.comparison(spark, d)
+    rows, summary = done.results.collect(), done.summary.first()
+    base = next(r for r in rows if r["model"] == "baseline_two_features")
+    gains = {r["model"]: (r["roc_auc_delta"], r["pr_auc_delta"]) for r in done.uplift.collect()}
+    return _kept(learned.features(spark, d).filter("split = 'test'"),
+                 ranking_is_the_highest=summary["ranking"] == max(rows, key=lambda r: (r["roc_auc"], r["pr_auc"], r["model"]))["model"],
+                 calibrated_is_the_lowest_brier=summary["calibrated_probability"] == min(
+                     rows, key=lambda r: (r["brier_score"], r["log_loss"], r["model"]))["model"],
+                 uplift_is_over_the_baseline=all(
+                     abs(gains[r["model"]][0] - (r["roc_auc"] - base["roc_auc"])) < 2e-5
+                     and abs(gains[r["model"]][1] - (r["pr_auc"] - base["pr_auc"])) < 2e-5 for r in rows if r is not base))
 
 
 @check("g12_comparison_summary", _LONG + """SELECT
@@ -126,10 +250,25 @@ def g12(spark, d):
     return models.comparison_summary(results, production="sigmoid")
 
 
-@check("g13_run_row")
+@check("g13_run_row", frames.PREP + """SELECT 'run-7' AS run_id, 'boosted_trees' AS model_type, 'time_based_issue_d' AS split_strategy,
+  count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'validation') AS n_validation,
+  count(*) FILTER (split = 'test') AS n_test, true AS figures_hold, true AS features_as_trained, true AS threshold_as_stored FROM fit""")
 def g13(spark, d):
-    trained = models.train(learned.train_rows(spark, d), "logistic_regression", ["fico_range_low", "grade_enc"], "run-7", scaled=True)
-    return models.run_row(learned.features(spark, d), trained, trained.model)
+    model, row = learned.evaluated(spark, d)
+    stored = row.first()
+    return row.select("run_id", "model_type", "split_strategy", "n_train", "n_validation", "n_test",
+                      F.lit(_figures_hold(_scored(spark, d, model), stored, model.threshold)).alias("figures_hold"),
+                      (F.col("feature_columns") == F.array(*map(F.lit, learned.columns(spark, d)))).alias("features_as_trained"),
+                      (F.col("threshold") == round(model.threshold, 4)).alias("threshold_as_stored"))
+
+
+@check("g14_trained_history", _promise("best_so_far_never_falls", "best_so_far_is_reached"))
+def g14_trained(spark, d):
+    """The history of the search's own trials."""
+    rows = models.trial_history(learned.tuned(spark, d).trials).orderBy("rung", "trial").collect()
+    best = [r["best_so_far"] for r in rows]
+    return _kept(learned.features(spark, d).filter("split = 'test'"), best_so_far_never_falls=best == sorted(best),
+                 best_so_far_is_reached=best == [max(r["val_roc_auc"] for r in rows[:i + 1]) for i in range(len(rows))])
 
 
 @check("g14_trial_history", frames.PREP + """, t AS (SELECT CAST(year(issue_d) * 12 + month(issue_d) AS INTEGER) AS trial, avg("default") AS v FROM prep GROUP BY 1)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks import frames
 from checks.registry import check, rounded
 from creditloom.operators import profiling
+from creditloom.session import fresh_path
 
 P = frames.PREP
 NUM = ("loan_amnt", "int_rate", "annual_inc", "dti", "open_acc", "revol_bal", "fico_range_low", "emp_length")
@@ -23,6 +24,21 @@ def m1(spark, d):
     return rounded(profiling.column_profile(frames.prepared(spark, d, *NUM, *TXT), [*NUM, *TXT]), 6, "null_pct")
 
 
+@check("m1_merged_profile", P + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) AS \"rows\", count({c}) AS non_null, count(DISTINCT {c}) AS exact, true AS within_error FROM prep"
+    for c in (*NUM, *TXT)))
+def m1_merged(spark, d):
+    """Sketches of each month, written, merged and held against the exact counts: four standard errors at most."""
+    df = frames.prepared(spark, d, "issue_d", *NUM, *TXT)
+    month = F.date_trunc("month", "issue_d").alias("month")
+    path = fresh_path(spark, "sketches")
+    profiling.profile_sketches(df.withColumn("month", month), [*NUM, *TXT], ["month"]).write.parquet(path)
+    merged = profiling.merged_profile(spark.read.parquet(path))
+    exact = profiling.column_profile(df, [*NUM, *TXT]).select("feature", F.col("distinct").alias("exact"))
+    close = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col("exact"))
+    return merged.join(exact, "feature").select("feature", "rows", "non_null", "exact", close.alias("within_error"))
+
+
 _Q = {"p1": .01, "p5": .05, "p25": .25, "p50": .5, "p75": .75, "p95": .95, "p99": .99}
 
 
@@ -91,23 +107,28 @@ def m8(spark, d):
     return rounded(profiling.category_rates(frames.prepared(spark, d, "emp_title"), "emp_title"), 9, "default_rate")
 
 
-def _corr(c):
-    return f"SELECT '{c}' AS feature, corr({_d(c)}, \"default\") AS correlation FROM prep"
+def _corr(x, y):
+    """NULL where one of the two does not vary over the rows that have both."""
+    both = f"FILTER ({x} IS NOT NULL AND {y} IS NOT NULL)"
+    return (f"CASE WHEN max({x}) {both} > min({x}) {both} AND max({y}) {both} > min({y}) {both} "
+            f"THEN round(corr({_d(x)}, {_d(y)}), 9) END")
 
 
-@check("m9_top_correlates", P + f", r AS ({' UNION ALL '.join(map(_corr, NUM))}) SELECT feature, round(correlation, 9) AS correlation "
-       "FROM r ORDER BY abs(correlation) DESC, feature LIMIT 5")
+@check("m9_top_correlates", P + "SELECT * FROM (SELECT unnest([" + ", ".join(
+    f"{{'feature': '{c}', 'correlation': {_corr(c, chr(34) + 'default' + chr(34))}}}" for c in frames.NUMERIC)
+    + "], recursive := true) FROM prep) ORDER BY abs(correlation) DESC NULLS LAST, feature LIMIT 30")
 def m9(spark, d):
-    return rounded(profiling.top_correlates(frames.prepared(spark, d, *NUM), NUM, top=5), 9, "correlation")
+    return rounded(profiling.top_correlates(frames.prepared(spark, d, *frames.NUMERIC), frames.NUMERIC), 9, "correlation")
 
 
-_PAIRS = [(a, b) for i, a in enumerate(NUM) for b in NUM[:i]]
+_WIDE = frames.NUMERIC[:20]
 
 
-@check("m10_correlation_pairs", P + " UNION ALL ".join(
-    f"SELECT '{a}' AS feature, '{b}' AS other, round(corr({_d(a)}, {_d(b)}), 9) AS correlation FROM prep" for a, b in _PAIRS))
+@check("m10_correlation_pairs", P + "SELECT unnest([" + ", ".join(
+    f"{{'feature': '{a}', 'other': '{b}', 'correlation': {_corr(a, b)}}}" for i, a in enumerate(_WIDE) for b in _WIDE[:i])
+    + "], recursive := true) FROM prep")
 def m10(spark, d):
-    return rounded(profiling.correlation_pairs(frames.prepared(spark, d, *NUM), NUM), 9, "correlation")
+    return rounded(profiling.correlation_pairs(frames.prepared(spark, d, *_WIDE), _WIDE), 9, "correlation")
 
 
 @check("m11_rate_by_bin", P + """, lim AS (SELECT min(annual_inc) AS low, max(annual_inc) AS high FROM prep),
@@ -120,20 +141,31 @@ def m11(spark, d):
     return rounded(rounded(out, 6, "lower", "upper"), 9, "default_rate")
 
 
+_DENSE = ("int_rate", "dti", "loan_amnt", "revol_util", "fico_range_low")
+
+
 def _kde(c, v):
+    """Linearly binned: 64 nodes to a kernel width, each value shared between the two nodes around it."""
     return f"""SELECT '{c}' AS feature, {v} AS "default", CAST(i AS INTEGER) AS point, round(x, 6) AS x,
-  round(sum(n * exp(-0.5 * ((x - {c}) / h) * ((x - {c}) / h))) / (any_value(total) * any_value(h) * sqrt(2 * pi())), 11) AS density
-FROM (SELECT i, i * (((high + 0.5 * (high - low)) - (low - 0.5 * (high - low))) / 199) + (low - 0.5 * (high - low)) AS x, h, total
-      FROM (SELECT min({c}) AS low, max({c}) AS high, 0.3 * stddev_samp({c}) AS h, count({c}) AS total FROM prep WHERE "default" = {v})
-      CROSS JOIN range(200) r(i))
-CROSS JOIN (SELECT {c}, count(*) AS n FROM prep WHERE "default" = {v} AND {c} IS NOT NULL GROUP BY 1) GROUP BY i, x"""
+  round(sum(weight * exp(-0.5 * ((x - place) / h) * ((x - place) / h))) / (any_value(total) * any_value(h) * sqrt(2 * pi())), 11) AS density,
+  round(any_value(gap * gap / (8 * sqrt(2 * pi()) * h * h * h)), 11) AS error_bound
+FROM (SELECT i, i * (((high + 0.5 * (high - low)) - (low - 0.5 * (high - low))) / 999) + (low - 0.5 * (high - low)) AS x
+      FROM lim_{c} CROSS JOIN range(1000) r(i) WHERE y = {v})
+CROSS JOIN (SELECT low + gap * node AS place, sum(weight) AS weight, any_value(h) AS h, any_value(gap) AS gap, any_value(total) AS total
+  FROM (SELECT low, gap, h, total, unnest([floor(p), floor(p) + 1]) AS node, unnest([1 - (p - floor(p)), p - floor(p)]) AS weight
+        FROM (SELECT *, ({c} - low) / gap AS p FROM prep JOIN lim_{c} ON "default" = y WHERE {c} IS NOT NULL AND y = {v}))
+  GROUP BY low, gap, node) GROUP BY i, x"""
+
+
+_LIMITS = "".join(f""", lim_{c} AS (SELECT *, greatest(h / 64, (high - low) / 262144) AS gap FROM (
+  SELECT "default" AS y, min({c}) AS low, max({c}) AS high, 0.3 * stddev_samp({c}) AS h, count({c}) AS total FROM prep GROUP BY 1))"""
+                  for c in _DENSE)
 
 
-@check("m12_density_by_class", P + " UNION ALL ".join(_kde(c, v) for c in ("int_rate", "dti", "loan_amnt") for v in (0, 1)))
+@check("m12_density_by_class", P + _LIMITS + " " + " UNION ALL ".join(_kde(c, v) for c in _DENSE for v in (0, 1)))
 def m12(spark, d):
-    cols = ("int_rate", "dti", "loan_amnt")
-    out = profiling.density_by_class(frames.prepared(spark, d, *cols), cols, points=200)
-    return rounded(rounded(out, 6, "x"), 11, "density")
+    out = profiling.density_by_class(frames.prepared(spark, d, *_DENSE), _DENSE)
+    return rounded(rounded(out, 6, "x"), 11, "density", "error_bound")
 
 
 @check("m13_skewness", P + "SELECT feature, round(skewness, 6) AS skewness FROM (" + " UNION ALL ".join(

@@ -69,7 +69,7 @@ def k5(spark, d):
 b AS (SELECT {BAND} AS risk_band, ead, pd * 0.45 * ead AS el FROM g),
 spine AS (SELECT * FROM (VALUES (0, 'Low'), (1, 'Medium'), (2, 'High'), (3, 'Very High'), (4, 'Unknown')) v(position, risk_band))
 SELECT position, spine.risk_band AS risk_band, count(b.risk_band) AS loans, round(coalesce(sum(ead), 0), 3) AS exposure,
-  round(coalesce(sum(el), 0), 3) AS expected_loss
+  CASE WHEN count(b.risk_band) = 0 THEN 0.0::DOUBLE ELSE round(sum(el), 3) END AS expected_loss
 FROM spine LEFT JOIN b ON spine.risk_band = b.risk_band GROUP BY position, spine.risk_band""")
 def k5_unknown(spark, d):
     df = frames.test_scores(spark, d).withColumn("pd", F.when(F.col("loan_id") % 7 != 0, F.col("pd")))

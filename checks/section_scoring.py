@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import frames, learned
 from checks.registry import check, rounded
-from creditloom.operators import contract, features, scoring
+from creditloom.operators import contract, features, models, scoring
 from creditloom.session import fresh_path
 from creditloom.streaming.scoring import application_stream, score_stream
 
@@ -82,15 +82,40 @@ def f3(spark, d):
     return rounded(out.select("loan_id", *names), 4, *names)
 
 
-@check("f4_decide")
-def f4(spark, d):
-    out = scoring.score_applications(applications(spark, d), learned.logistic(spark, d), learned.encodings(spark, d))
-    return out.withColumn("violations", F.array_join("violations", "; "))
+_REASONS = f"array_to_string([x FOR x IN [{', '.join(_RULES)}] IF x IS NOT NULL], '; ')"
+
+
+def _holds(threshold, probability="default_probability", tier="risk_tier"):
+    """A decision follows from its probability and the threshold; a rejected application has none."""
+    p = F.col(probability)
+    band = F.when(p < 0.10, "Low").when(p < 0.20, "Medium").when(p < 0.35, "High").otherwise("Very High")
+    decided = p.between(0, 1) & (F.col("prediction") == (p >= F.lit(threshold)).cast("int")) & (F.col(tier) == band)
+    none = p.isNull() & F.col("prediction").isNull() & F.col(tier).isNull()
+    return F.coalesce(F.when(F.col("violations") == "", decided).otherwise(none), F.lit(False)).alias("decision_holds")
+
 
+def _as_text(df):
+    return df.withColumn("violations", F.array_join("violations", "; "))
 
-@check("f5_score_table")
+
+@check("f4_decide", APPS + f"SELECT loan_id, {_REASONS} AS violations, 'lr-1' AS model_version, true AS decision_holds, true AS threshold_is_the_models FROM apps")
+def f4(spark, d):
+    model = learned.logistic(spark, d)
+    exact = scoring.judge_and_score(applications(spark, d), model, learned.encodings(spark, d))
+    out = _as_text(scoring.score_applications(applications(spark, d), model, learned.encodings(spark, d)))
+    # responses are rounded to six digits, so a decision is held against the exact probability
+    both = out.join(exact.select("loan_id", F.col("default_probability").alias("exact"), "risk_tier"), "loan_id")
+    both = both.withColumns({"default_probability": F.when(
+        F.col("default_probability") == F.round("exact", 6), F.col("exact")), "same": F.col("risk_label").eqNullSafe(F.col("risk_tier"))})
+    return both.select("loan_id", "violations", "model_version", (_holds(model.threshold) & F.col("same")).alias("decision_holds"),
+                       (F.col("threshold") == model.threshold).alias("threshold_is_the_models"))
+
+
+@check("f5_score_table", APPS + "SELECT loan_id, loan_amnt, term, grade, sub_grade, purpose, true AS decision_holds FROM apps")
 def f5(spark, d):
-    return scoring.score_table(applications(spark, d), learned.logistic(spark, d), learned.encodings(spark, d))
+    model = learned.logistic(spark, d)
+    out = scoring.score_table(applications(spark, d), model, learned.encodings(spark, d)).withColumn("violations", F.lit(""))
+    return out.select("loan_id", "loan_amnt", "term", "grade", "sub_grade", "purpose", _holds(model.threshold))
 
 
 @check("f6_batch_kpis", frames.PREP + "SELECT count(*) FILTER (pd >= 0.25) AS flagged, round(avg(pd), 9) AS mean_probability, "
@@ -101,19 +126,52 @@ def f6(spark, d):
     return rounded(scoring.batch_kpis(df), 9, "mean_probability")
 
 
-@check("f7_model_info")
+@check("f7_model_info", frames.PREP + "SELECT 'logistic_regression' AS model_type, 'lr-1' AS model_version, count(*) AS \"rows\", "
+       "true AS threshold_as_stored, true AS feature_count_holds, true AS figures_hold FROM fit")
 def f7(spark, d):
-    return scoring.model_info(learned.features(spark, d), learned.logistic(spark, d))
-
-
-@check("f8_score_stream")
+    """What the stored model says of itself, held against its scores."""
+    live, path = learned.logistic(spark, d), fresh_path(spark, "served")
+    scoring.save_scoring_model(live, spark, path)
+    model, features = scoring.load_scoring_model(spark, path), learned.features(spark, d)
+    info = scoring.model_info(features, model)
+    row, own = info.first(), models.evaluate(scoring.predict(features.filter("split = 'test'"), model, keep=["default"]), model.threshold)
+    same = all(abs(row[n] - own[m]) < 1e-9 for n, m in (("test_roc_auc", "roc_auc"), ("test_avg_precision", "pr_auc"),
+                                                       ("test_f1", "f1"), ("test_brier", "brier")))
+    return info.select("model_type", "model_version", "rows", (F.col("threshold") == live.threshold).alias("threshold_as_stored"),
+                       (F.col("n_features") == len(learned.columns(spark, d))).alias("feature_count_holds"), F.lit(same).alias("figures_hold"))
+
+
+def _arriving(spark, d, parts):
+    folder, schema = fresh_path(spark, "arriving"), contract.application_schema()
+    contract.fill_defaults(applications(spark, d)).select(*schema.names).repartition(parts, "loan_id").write.parquet(folder)
+    return folder
+
+
+#: Reasons after defaults are filled in: what a default replaces is no longer missing.
+@check("f8_score_stream", APPS + f"SELECT loan_id, {_REASONS} AS violations, true AS decision_holds FROM apps")
 def f8(spark, d):
-    folder, out, state = (fresh_path(spark, n) for n in ("arriving", "scored", "stream-state"))
-    schema = contract.application_schema()
-    apps = contract.fill_defaults(applications(spark, d)).select(*schema.names)
-    apps.repartition(6, "loan_id").write.parquet(folder)
-    query = score_stream(application_stream(spark, folder, 2), learned.logistic(spark, d),
-                         learned.encodings(spark, d), out, state)
+    out, state = (fresh_path(spark, n) for n in ("scored", "stream-state"))
+    model = learned.logistic(spark, d)
+    query = score_stream(application_stream(spark, _arriving(spark, d, 6), 2), model, learned.encodings(spark, d), out, state)
     query.awaitTermination()
-    return spark.read.parquet(out).select("loan_id", "default_probability", "prediction", "risk_tier",
-                                          F.array_join("violations", "; ").alias("reasons"))
+    return _as_text(spark.read.parquet(out)).select("loan_id", "violations", _holds(model.threshold))
+
+
+_KPI_TIME = "TIMESTAMP '2020-01-01' + to_seconds(loan_id % 40000)"
+
+
+@check("f8_kpi_stream", frames.PREP + f"""SELECT date_trunc('hour', {_KPI_TIME}) AS window_start, count(*) AS scored,
+  count(*) FILTER (pd >= 0.25) AS flagged, round(avg(pd), 9) AS mean_probability, count(*) FILTER (pd >= 0.20) AS high_risk
+FROM scores GROUP BY 1""")
+def f8_kpis(spark, d):
+    """KPIs per hour of a stream that is stopped in the middle and started again, against the whole table."""
+    from creditloom.streaming.kpis import kpi_stream, kpi_table, scored_stream
+    folder, out, state = (fresh_path(spark, n) for n in ("scored", "kpis", "kpi-state"))
+    df = frames.scores(spark, d).withColumnRenamed("pd", "default_probability")
+    df = df.withColumns(scoring.decisions(F.col("default_probability"), 0.25)).withColumn(
+        "scored_at", F.timestamp_seconds(F.unix_timestamp(F.lit("2020-01-01 00:00:00")) + F.col("loan_id") % 40000))
+    early = F.col("loan_id") % 40000 < 15000
+    for part in (df.filter(early), df.filter(~early)):
+        part.repartitionByRange(4, "scored_at").write.mode("append").parquet(folder)
+        kpi_stream(scored_stream(spark, folder, df.schema, 1), "1 hour", "12 hours", out, state).awaitTermination()
+    return rounded(kpi_table(spark, out), 9, "mean_probability").drop("window_end")

@@ -8,16 +8,59 @@ from creditloom.operators import encoding, splitting
 from creditloom.session import fresh_path
 from creditloom.sources import tables
 
-_CSV = ("loan_id", "id", "loan_status", "issue_d", "term", "int_rate", "emp_title", "annual_inc", "dti")
+_BROKEN = "CASE WHEN {k} % 20 = 0 THEN concat('first, \"quoted\"', chr(10), 'line ', {k}) END"
 
 
-@check("a1_read_gzip_csv", f"WITH {frames.RAW} SELECT {', '.join(_CSV)} FROM raw")
+@check("a1_read_gzip_csv", f"WITH {frames.RAW} SELECT raw.* EXCLUDE (pd) REPLACE ({_BROKEN.format(k='loan_id')} AS \"desc\") FROM raw")
 def a1(spark, d):
+    """All columns, with line breaks and quotes in the description."""
     path = fresh_path(spark, "raw-csv")
-    tables.write_csv(frames.raw(spark, d, *_CSV[1:]), path)
+    raw = frames.raw(spark, d, *frames.ALL_COLUMNS)
+    tables.write_csv(raw.withColumn("desc", F.expr(_BROKEN.format(k="loan_id"))), path)
     return tables.read_raw_csv(spark, path, partitions=8)
 
 
+#: Every 13th record lacks two cells, every 17th has one more, every 19th has text for its amount.
+_KINDS = "CASE WHEN loan_id % 13 = 0 THEN {} WHEN loan_id % 17 = 0 THEN {} WHEN loan_id % 19 = 0 THEN {} ELSE {} END"
+_CELLS = ("loan_id", "loan_amnt", "grade", "emp_title")
+
+
+def _broken_file(spark, d, compression):
+    """CSV files of which a part of the records is malformed, each with its header."""
+    title = "concat('\"', 'chief', chr(10), coalesce(emp_title, ''), '\"')"
+    line = _KINDS.format(f"concat(loan_id, ',', loan_amnt)", f"concat(loan_id, ',', loan_amnt, ',', grade, ',', {title}, ',more')",
+                         f"concat(loan_id, ',much,', grade, ',', {title})", f"concat(loan_id, ',', loan_amnt, ',', grade, ',', {title})")
+    path = fresh_path(spark, "broken-csv")
+
+    def with_header(frames_):
+        first = True
+        for frame in frames_:
+            if first and len(frame):
+                frame, first = type(frame)({"value": [",".join(_CELLS), *frame["value"]]}), False
+            yield frame
+    lines = frames.raw(spark, d, *_CELLS).select(F.expr(line).alias("value"))
+    lines.mapInPandas(with_header, "value string").write.option("compression", compression).text(path)
+    return path
+
+
+_CHECKED = (f"WITH {frames.RAW} SELECT loan_id, " + _KINDS.format("NULL", "NULL", "NULL", "loan_amnt") + " AS loan_amnt, "
+            + _KINDS.format("NULL", "NULL", "NULL", "concat('chief', chr(10), coalesce(emp_title, ''))") + " AS emp_title, "
+            + _KINDS.format("'not 4 cells'", "'not 4 cells'", "'not a number: loan_amnt'", "NULL") + " AS reason FROM raw")
+
+
+def _accounted(read):
+    """Rows and rejects side by side: together they are all records."""
+    rejected = read.rejects.select(F.substring_index("record", ",", 1).cast("long").alias("loan_id"),
+                                   F.lit(None).cast("double").alias("loan_amnt"), F.lit(None).cast("string").alias("emp_title"),
+                                   "reason")
+    return read.rows.select("loan_id", "loan_amnt", "emp_title", F.lit(None).cast("string").alias("reason")).unionByName(rejected)
+
+
+@check("a1_rejects", _CHECKED)
+def a1_rejects(spark, d):
+    return _accounted(tables.read_raw(spark, _broken_file(spark, d, "gzip")))
+
+
 @check("a2_prefer_features", frames.PREP + "SELECT 'cleaned' AS source, count(*) AS \"rows\" FROM prep "
        "UNION ALL SELECT 'features', count(*) FROM fit WHERE is_fit")
 def a2(spark, d):
@@ -97,11 +140,22 @@ def a8(spark, d):
     return both.agg(F.count(F.lit(1)).alias("loans"), F.count_if(apart).alias("differ"))
 
 
-@check("a9_read_applications", f"WITH {frames.RAW} SELECT loan_id, loan_amnt, "
-       f"{frames.PARSED['term']} AS term, grade, dti FROM raw")
+_APPLIED = [c for c in frames.ALL_COLUMNS if c in (*frames.NUMERIC, *frames.TEXT)]
+_TITLE = "('chief' || chr(10) || emp_title)"
+
+
+@check("a9_read_applications", f"WITH {frames.RAW} SELECT loan_id, " + ", ".join(
+    f"{_TITLE} AS emp_title" if c == "emp_title" else f"{frames.PARSED.get(c, c)} AS {c}" if c != "dti" else c for c in _APPLIED) + " FROM raw")
 def a9(spark, d):
-    from creditloom.functions import parse
+    """All columns of an application, with line breaks in the title."""
+    from creditloom.operators import cleaning
     path = fresh_path(spark, "applications")
-    df = frames.raw(spark, d, "loan_amnt", "term", "grade", "dti").withColumn("term", parse.parse_term(F.col("term")))
-    tables.write_csv(df, path, "none")
+    df = frames.raw(spark, d, *_APPLIED).withColumn("emp_title", F.expr(_TITLE))
+    parsed = cleaning.parse_columns(df).withColumn("revol_util", F.least(F.lit(100.0), "revol_util"))
+    tables.write_csv(parsed.select("loan_id", *_APPLIED), path, "none")
     return tables.read_applications(spark, path)
+
+
+@check("a9_rejects", _CHECKED)
+def a9_rejects(spark, d):
+    return _accounted(tables.read_application_file(spark, _broken_file(spark, d, "none")))

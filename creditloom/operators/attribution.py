@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom import policy
-from creditloom.session import fresh_path
+from creditloom.session import fresh_path, materialise
 
-MAX_NODES = 5_000_000
+MAX_NODES = 5_000_000    # of a group of trees
 
 
 def linear_contributions(df: DataFrame, weights: dict[str, float], means: dict[str, float],
@@ -36,53 +36,51 @@ def to_long(attributed: DataFrame) -> DataFrame:
     return attributed.select(*keep, F.posexplode("drivers").alias("position", "d")).select(*keep, "position", "d.*")
 
 
-def ensemble_nodes(pipeline: PipelineModel, spark) -> tuple[pd.DataFrame, list[float], bool]:
-    """Node table and tree weights of the tree ensemble in a pipeline.
-
-    Its size depends on trees and depth only, never on data rows; it is checked
-    against ``MAX_NODES`` before it is fetched.
-    """
+def _stored_ensemble(pipeline: PipelineModel, spark) -> tuple[DataFrame, list[float]]:
+    """The node table of a pipeline's tree ensemble, written out, and its tree weights."""
     stage = next(s for s in pipeline.stages if hasattr(s, "treeWeights"))
     boosted = type(stage).__name__.startswith("GBT")
-    if stage.totalNumNodes > MAX_NODES:
-        raise ValueError(f"The ensemble has {stage.totalNumNodes:,} nodes; at most {MAX_NODES:,} are broadcast")
     path = fresh_path(spark, "ensemble")
     stage.save(path)
-    raw = spark.read.parquet(f"{path}/data")
-    nodes = raw.select("treeID", "nodeData.*")
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
     value = (F.col("prediction") if boosted else
              F.try_divide(F.get("impurityStats", F.lit(1)), F.aggregate("impurityStats", F.lit(0.0), lambda a, b: a + b)))
     table = nodes.select(
         F.col("treeID").alias("tree"), F.col("id").alias("node"), value.alias("value"),
         F.col("leftChild").alias("left"), F.col("rightChild").alias("right"),
         F.col("split.featureIndex").alias("feature"),
-        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("cut")).toPandas()
+        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("cut"))
     weights = [float(w) for w in stage.treeWeights]
-    if not boosted:
-        weights = [1.0 / len(weights)] * len(weights)
-    return table.sort_values(["tree", "node"]), weights, boosted
+    return table, weights if boosted else [1.0 / len(weights)] * len(weights)
 
 
-def tree_contributions(df: DataFrame, pipeline: PipelineModel, features: Sequence[str],
-                       key: str = policy.KEY) -> tuple[DataFrame, float]:
-    """Path contributions of a tree ensemble (L2) and the base value.
+def ensemble_groups(pipeline: PipelineModel, spark, most: int = MAX_NODES) -> Iterator[list[tuple]]:
+    """The ensemble's trees as (weight, value, left, right, feature, cut), in groups of at most ``most`` nodes.
 
-    Walking from root to leaf, the change of the expected value at each split is
-    credited to the split's feature (Saabas 2014). Base value plus contributions
-    is the raw margin (boosting) or the mean class share (forest).
+    One group at a time reaches the driver; a single tree is never cut.
     """
-    table, weights, _ = ensemble_nodes(pipeline, df.sparkSession)
-    trees = []
-    for tree, nodes in table.groupby("tree"):
-        trees.append((weights[int(tree)], *[nodes[c].to_numpy() for c in ("value", "left", "right", "feature", "cut")]))
-    base = float(sum(w * value[0] for w, value, *_ in trees))
-    shared = df.sparkSession.sparkContext.broadcast(trees)
-    names = list(features)
-
+    table, weights = _stored_ensemble(pipeline, spark)
+    sizes = [r["count"] for r in table.groupBy("tree").count().orderBy("tree").collect()]
+    first = 0
+    while first < len(sizes):
+        last, held = first, 0
+        while last < len(sizes) and (last == first or held + sizes[last] <= most):
+            held += sizes[last]
+            last += 1
+        nodes = table.where(F.col("tree").between(first, last - 1)).toPandas().sort_values(["tree", "node"])
+        yield [(weights[int(tree)], *[part[c].to_numpy() for c in ("value", "left", "right", "feature", "cut")])
+               for tree, part in nodes.groupby("tree")]
+        first = last
+
+
+def _walker(shared, key: str):
+    """Adds the contributions of one group of trees to those of the groups before."""
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            total = np.zeros(x.shape)
+            if not len(batch):
+                continue
+            x = np.stack(batch["values"].to_numpy())
+            total = np.stack(batch["contributions"].to_numpy()).copy()
             rows = np.arange(len(x))
             for weight, value, left, right, feature, cut in shared.value:
                 at = np.zeros(len(x), dtype=int)
@@ -95,11 +93,30 @@ def tree_contributions(df: DataFrame, pipeline: PipelineModel, features: Sequenc
                     at[active] = child
                     active = active[left[child] >= 0]
             yield pd.DataFrame({key: batch[key], "values": list(x), "contributions": list(total)})
+    return walk
 
+
+def tree_contributions(df: DataFrame, pipeline: PipelineModel, features: Sequence[str],
+                       key: str = policy.KEY, most: int = MAX_NODES) -> tuple[DataFrame, float]:
+    """Path contributions of a tree ensemble (L2) and the base value.
+
+    Walking from root to leaf, the change of the expected value at each split is
+    credited to the split's feature (Saabas 2014). Base value plus contributions
+    is the raw margin (boosting) or the mean class share (forest). An ensemble of
+    any size is walked in groups of ``most`` nodes, each broadcast on its own;
+    between groups the contributions so far are written, so neither driver nor
+    worker ever holds more than one group.
+    """
+    names, spark = list(features), df.sparkSession
     # Parquet and Spark ML compare doubles, so features enter as doubles.
-    narrow = df.select(key, *[F.col(c).cast("double").alias(c) for c in names])
-    walked = narrow.mapInPandas(
-        walk, f"{key} {dict(df.dtypes)[key]}, values array<double>, contributions array<double>")
+    state = df.select(key, F.array(*[F.col(c).cast("double") for c in names]).alias("values"),
+                      F.array_repeat(F.lit(0.0), len(names)).alias("contributions"))
+    base = 0.0
+    for number, trees in enumerate(ensemble_groups(pipeline, spark, most)):
+        base += float(sum(weight * value[0] for weight, value, *_ in trees))
+        state = state if not number else materialise(state, "contributions")
+        state = state.mapInPandas(_walker(spark.sparkContext.broadcast(trees), key),
+                                  f"{key} {dict(df.dtypes)[key]}, values array<double>, contributions array<double>")
     drivers = F.transform(F.array(*[F.lit(c) for c in names]), lambda f, i: F.struct(
         f.alias("feature"), F.get("values", i).alias("value"), F.get("contributions", i).alias("contribution")))
-    return walked.select(key, drivers.alias("drivers")), base
+    return state.select(key, drivers.alias("drivers")), base

@@ -7,6 +7,7 @@ touched and the whole is one ``PipelineModel`` that can be stored and served.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.regression import IsotonicRegression
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditloom import policy
-from creditloom.operators import metrics
+from creditloom.operators import isotonic, metrics
 from creditloom.operators.scoring import ScoringModel
 
 METHODS = ("sigmoid", "isotonic")
@@ -24,7 +25,10 @@ CALIBRATED = "calibrated"
 
 def calibrate(model: ScoringModel, validation: DataFrame, method: str = "sigmoid",
               label: str = policy.TARGET) -> ScoringModel:
-    """Fit a calibrator on the model's raw probabilities (J1, J2) and append it."""
+    """Fit a calibrator on the model's raw probabilities (J1, J2) and append it.
+
+    The isotonic curve comes out of ``isotonic_pools``, so only the ends of its pools reach the stage that serves it.
+    """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
     pick = VectorSlicer(inputCol=model.probability, outputCol=RAW, indices=[1])
@@ -32,11 +36,14 @@ def calibrate(model: ScoringModel, validation: DataFrame, method: str = "sigmoid
     if method == "sigmoid":
         rows = raw.count()
         stage = LogisticRegression(featuresCol=RAW, labelCol=label, regParam=1.0 / rows, elasticNetParam=0.0,
-                                   standardization=False, maxIter=1000, probabilityCol=CALIBRATED,
+                                   standardization=False, maxIter=1000, tol=1e-9, probabilityCol=CALIBRATED,
                                    rawPredictionCol="calibrated_raw", predictionCol="calibrated_label")
     else:
-        stage = IsotonicRegression(featuresCol=RAW, labelCol=label, featureIndex=0, isotonic=True,
+        stage = IsotonicRegression(featuresCol=RAW, labelCol="rate", featureIndex=0, isotonic=True,
                                    predictionCol=CALIBRATED)
+        scored = raw.select(vector_to_array(RAW)[0].alias("score"), label)
+        raw = isotonic.curve_points(isotonic.isotonic_pools(scored, "score", label)).select(
+            array_to_vector(F.array("score")).alias(RAW), "rate")
     pipeline = PipelineModel(stages=[*model.pipeline.stages, pick, stage.fit(raw)])
     return ScoringModel(pipeline, model.features, model.threshold, f"{model.version}-{method}", model.model_type,
                         CALIBRATED, model.metrics)

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom import policy
 from creditloom.functions import numeric, parse
-from creditloom.operators.quantiles import exact_quantiles
+from creditloom.operators.quantiles import counts_and_brackets, settled_quantiles
+from creditloom.session import materialise
 
 # Labelled loan statuses and their target value.
 LABELLED_STATUS = {
@@ -136,18 +137,12 @@ def fit_cleaning(parsed: DataFrame, fit_rows: Column | None = None) -> CleaningF
     """
     rows_used = parsed if fit_rows is None else parsed.filter(fit_rows)
     names = numeric_columns(parsed)
-    counts = rows_used.agg(F.count(F.lit(1)).alias("all"),
-                           *[F.count(F.col(c)).alias(c) for c in names]).first()
-    wanted: dict[str, list[float]] = {}
-    for c in names:
-        quantiles = []
-        if CLIP_BOUNDS.get(c, (0, 0))[1] is None:
-            quantiles.append(CAP_QUANTILE)
-        if counts[c] < counts["all"]:
-            quantiles.append(0.5)
-        if quantiles:
-            wanted[c] = quantiles
-    found = exact_quantiles(rows_used, wanted, {c: counts[c] for c in wanted})
+    possible = {c: [0.5] + ([CAP_QUANTILE] if CLIP_BOUNDS.get(c, (0, 0))[1] is None else []) for c in names}
+    one = rows_used.withColumn("_one", F.lit(1.0))
+    counts, brackets = counts_and_brackets(one, {**possible, "_one": [0.5]})
+    # Only what has gaps needs a median.
+    wanted = {c: [q for q in qs if q != 0.5 or counts[c] < counts["_one"]] for c, qs in possible.items()}
+    found = settled_quantiles(rows_used, {c: qs for c, qs in wanted.items() if qs}, counts, brackets)
     caps = {c: q[CAP_QUANTILE].value for c, q in found.items() if CAP_QUANTILE in q}
     medians = {}
     for c, q in found.items():
@@ -209,9 +204,32 @@ def finish(prepared: DataFrame, fit: CleaningFit) -> DataFrame:
 
 def clean(raw: DataFrame, reference_date: str | None = REFERENCE_DATE,
           fit: CleaningFit | None = None) -> DataFrame:
-    """The whole cleaning chain."""
+    """The whole cleaning chain (B16); with a stored ``fit``, one narrow pass.
+
+    Without one the prepared loans are written once, so the raw source is read once and the few scans that learn the
+    fit go over the far smaller table.
+    """
     prepared = prepare(raw, reference_date)
-    return finish(prepared, fit or fit_cleaning(prepared))
+    if fit is None:
+        prepared = materialise(prepared, "prepared")
+        fit = fit_cleaning(prepared)
+    return finish(prepared, fit)
+
+
+_FIT = "column_name string, cap double, median double"
+
+
+def save_cleaning(fit: CleaningFit, spark: SparkSession, path: str) -> None:
+    """The learned values as a table, one row a column."""
+    rows = [(c, fit.caps.get(c), fit.medians.get(c)) for c in sorted({*fit.caps, *fit.medians})]
+    spark.createDataFrame(rows, _FIT).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_cleaning(spark: SparkSession, path: str) -> CleaningFit:
+    """What ``save_cleaning`` stored, to clean raw loans that came later with it."""
+    rows = spark.read.schema(_FIT).parquet(path).collect()
+    return CleaningFit({r["column_name"]: r["cap"] for r in rows if r["cap"] is not None},
+                       {r["column_name"]: r["median"] for r in rows if r["median"] is not None})
 
 
 def null_audit(df: DataFrame) -> DataFrame:

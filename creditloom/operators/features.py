@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from creditloom import policy
 from creditloom.functions import encode, numeric
+from creditloom.operators.comoments import correlation_with
 from creditloom.operators.encoding import (FREQUENCY_ENCODINGS, TARGET_ENCODINGS, Encodings,
                                            fit_encodings)
 
@@ -188,24 +189,8 @@ def engineer_features(df: DataFrame, encodings: Encodings | None = None,
 
 def correlation_with_target(df: DataFrame, columns: list[str],
                             target: str = policy.TARGET) -> DataFrame:
-    """Pearson correlation of many columns with the target, one scan.
-
-    Cells become narrow (feature, x, y) rows that are aggregated on the map
-    side: one small compiled aggregation instead of hundreds side by side.
-    """
-    y = F.col(target).cast("double")
-    entries = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x"), y.alias("y"))
-                        for c in columns])
-    return (df.select(F.inline(entries)).groupBy("feature")
-            .agg(pearson(F.col("x"), F.col("y")).alias("correlation")))
-
-
-def pearson(x: Column, y: Column) -> Column:
-    """Pearson correlation over complete pairs; NULL when one side does not vary."""
-    both = x.isNotNull() & y.isNotNull()
-    x, y = F.when(both, x), F.when(both, y)
-    varied = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    return F.when(varied, F.corr(x, y))
+    """Pearson correlation of many columns with the target, one scan; NULL where a side does not vary."""
+    return correlation_with(df, columns, target)
 
 
 def engineered_report(df: DataFrame, columns: list[str], top: int = 15) -> DataFrame:

@@ -22,18 +22,20 @@ def _curve(df: DataFrame, score: str, label: str, group: str | None) -> DataFram
 
 
 def auc_term() -> Column:
-    """Share of (positive, negative) pairs ordered rightly, ties half, per score row."""
+    """Share of (positive, negative) pairs ordered rightly, ties half, per score row; NULL without any pair."""
     won = F.col("neg") * ((F.col("tp") - F.col("pos")) + F.col("pos") / 2)
-    return F.sum(won) / (F.max("positives").cast("double") * F.max("negatives").cast("double"))
+    return F.try_divide(F.sum(won), F.max("positives").cast("double") * F.max("negatives").cast("double"))
 
 
 def average_precision_term() -> Column:
-    step = F.col("pos") / F.col("positives")
+    """NULL without a positive label."""
+    step = F.try_divide(F.col("pos"), F.col("positives"))
     return F.sum(step * F.col("tp") / (F.col("tp") + F.col("fp")))
 
 
 def ks_gap() -> Column:
-    return F.col("tp") / F.col("positives") - F.col("fp") / F.col("negatives")
+    """NULL where one of the classes is absent."""
+    return F.try_divide(F.col("tp"), F.col("positives")) - F.try_divide(F.col("fp"), F.col("negatives"))
 
 
 def rank_metrics(df: DataFrame, score: str = "pd", label: str = "default",
@@ -41,7 +43,8 @@ def rank_metrics(df: DataFrame, score: str = "pd", label: str = "default",
     """ROC-AUC, average precision, KS and its threshold from one ordered table (H1, H2, H5).
 
     On equal gaps the highest score wins; when no score separates at all the
-    gap is 0 at an infinite threshold.
+    gap is 0 at an infinite threshold. A group with one class alone has no
+    ROC-AUC and no KS (NULL), one without positives no average precision.
     """
     keys = [group] if group else []
     best = F.max_by(F.struct("gap", "score"), F.struct(F.col("gap"), F.col("score")))
@@ -94,8 +97,8 @@ def all_metrics(df: DataFrame, score: str = "pd", label: str = "default",
 def roc_points(df: DataFrame, score: str = "pd", label: str = "default") -> DataFrame:
     """(fpr, tpr, threshold), from (0, 0) at infinity on (H6)."""
     points = _curve(df, score, label, None).select(
-        (F.col("fp") / F.col("negatives")).alias("fpr"),
-        (F.col("tp") / F.col("positives")).alias("tpr"), F.col("score").alias("threshold"))
+        F.try_divide("fp", "negatives").alias("fpr"),
+        F.try_divide("tp", "positives").alias("tpr"), F.col("score").alias("threshold"))
     start = df.sparkSession.range(1).select(
         F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(float("inf")).alias("threshold"))
     return start.unionByName(points)
@@ -105,7 +108,7 @@ def pr_points(df: DataFrame, score: str = "pd", label: str = "default") -> DataF
     """(precision, recall, threshold) and the end point (1, 0) (H7)."""
     points = _curve(df, score, label, None).select(
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        (F.col("tp") / F.col("positives")).alias("recall"), F.col("score").alias("threshold"))
+        F.try_divide("tp", "positives").alias("recall"), F.col("score").alias("threshold"))
     end = df.sparkSession.range(1).select(
         F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
         F.lit(None).cast("double").alias("threshold"))
@@ -205,6 +208,10 @@ def classification_report(df: DataFrame, threshold: float, score: str = "pd",
         line("weighted avg", weighted(p0, p1), weighted(r0, r1), weighted(f0, f1), n))))
 
 
+def _scored(df: DataFrame, score: str) -> DataFrame:
+    return df.withColumn(score, present(F.col(score).cast("double"), f"Score {score}"))
+
+
 def _calibration(binned: DataFrame, keys: list[str], score: str, label: str) -> DataFrame:
     return (binned.groupBy(*keys, "bin")
             .agg(F.avg(score).alias("mean_predicted"), F.avg(F.col(label)).alias("observed_rate"),
@@ -213,7 +220,8 @@ def _calibration(binned: DataFrame, keys: list[str], score: str, label: str) ->
 
 def calibration_uniform(df: DataFrame, n_bins: int = 10, score: str = "pd", label: str = "default",
                         group: str | None = None) -> DataFrame:
-    """Mean prediction against observed rate in equal-width, right-closed bins."""
+    """Mean prediction against observed rate in equal-width, right-closed bins (H12). A NULL or NaN score fails the job."""
+    df = _scored(df, score)
     binned = df.withColumn("bin", bins.right_closed_bin(F.col(score), 0.0, 1.0, n_bins))
     return _calibration(binned, [group] if group else [], score, label)
 
@@ -221,6 +229,7 @@ def calibration_uniform(df: DataFrame, n_bins: int = 10, score: str = "pd", labe
 def calibration_quantile(df: DataFrame, n_bins: int = 20, score: str = "pd",
                          label: str = "default") -> DataFrame:
     """The same in bins of equal row count."""
+    df = _scored(df, score)
     fractions = [i / n_bins for i in range(1, n_bins)]
     found = exact_quantiles(df, {score: fractions}).get(score, {})
     edges = [found[q].value for q in fractions if q in found]
@@ -230,23 +239,32 @@ def calibration_quantile(df: DataFrame, n_bins: int = 20, score: str = "pd",
 
 def score_histogram(df: DataFrame, n_bins: int = 50, score: str = "pd",
                     group: str | None = None) -> DataFrame:
-    """Density histogram over each group's own range, last bin closed."""
-    keys = [group] if group else []
-    ranges = df.groupBy(*keys).agg(F.min(score).alias("low"), F.max(score).alias("high"),
-                                   F.count(score).alias("n")).collect()
-    x, which, start, area = F.col(score), F.lit(None).cast("int"), F.lit(None), F.lit(None)
-    for r in ranges:
-        if not r["n"]:
-            continue
-        mine = F.lit(True) if not group else F.col(group).eqNullSafe(F.lit(r[group]))
-        width = (r["high"] - r["low"]) / n_bins
-        which = F.when(mine, bins.left_closed_bin(x, r["low"], r["high"], n_bins)).otherwise(which)
-        start = F.when(mine, F.lit(r["low"]) + F.col("bin") * F.lit(width)).otherwise(start)
-        area = F.when(mine, F.lit(r["n"] * width if width else 1.0)).otherwise(area)
-    counted = (df.select(*keys, which.alias("bin")).filter(F.col("bin").isNotNull())
-               .groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("rows")))
-    return counted.select(*keys, "bin", start.alias("bin_start"), "rows",
-                          (F.col("rows") / area).alias("density"))
+    """Density histogram over each group's own range, last bin closed (H14). A NULL or NaN score fails the job.
+
+    The limits stay a table, one row per group, that the scores are joined with: many groups cost neither driver memory
+    nor a longer plan. A group whose scores are all the same has one bin of density 1 per row.
+    """
+    key = F.col(group) if group else F.lit(0)
+    scored = _scored(df, score).select(key.alias("_g"), F.col(score).alias("_x"))
+    limits = (scored.groupBy("_g").agg(F.min("_x").alias("low"), F.max("_x").alias("high"), F.count("_x").alias("n"))
+              .select(F.col("_g").alias("_key"), "low", "n", "high",
+                      ((F.col("high") - F.col("low")) / n_bins).alias("width")))
+    joined = scored.join(limits, F.col("_g").eqNullSafe(F.col("_key")))
+    low, width, x = F.col("low"), F.col("width"), F.col("_x")
+
+    def edge(i: Column) -> Column:
+        return F.when(i >= n_bins, F.col("high")).otherwise(i * width + low)
+
+    guess = F.greatest(F.lit(0), F.least(F.lit(n_bins - 1), F.floor(F.try_divide(x - low, width)).cast("int")))
+    # The guess by division is checked against the edges themselves.
+    placed = joined.withColumn("bin", F.when(width == 0, F.lit(0)).otherwise(guess))
+    down, up = x < edge(F.col("bin")), (F.col("bin") < n_bins - 1) & (x >= edge(F.col("bin") + 1))
+    placed = placed.withColumn("bin", F.when(width == 0, F.col("bin")).when(down, F.col("bin") - 1)
+                               .when(up, F.col("bin") + 1).otherwise(F.col("bin")))
+    counted = placed.groupBy("_g", "bin", "low", "width", "n").agg(F.count(F.lit(1)).alias("rows"))
+    area = F.when(width == 0, F.lit(1.0)).otherwise(F.col("n") * width)
+    return counted.select(*([F.col("_g").alias(group)] if group else []), "bin", (low + F.col("bin") * width).alias("bin_start"),
+                          "rows", (F.col("rows") / area).alias("density"))
 
 
 def base_rate(df: DataFrame, label: str = "default") -> DataFrame:

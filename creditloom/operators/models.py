@@ -7,23 +7,27 @@ import math
 import random
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from creditloom import policy
-from creditloom.operators import metrics, thresholds
+from creditloom.operators import metrics, staging, thresholds
 from creditloom.operators.encoding import add_class_weight, class_weights
 from creditloom.operators.scoring import ScoringModel, predict
 from creditloom.session import materialise
 
 SEED = 42
 WEIGHT = "class_weight"
+TOLERANCE = 1e-9      # of the loss, so that the gradient at the end is small as well
 
 # Default hyper-parameters per model.
 PARAMETERS = {
@@ -72,18 +76,15 @@ def build_estimator(kind: str, features: Sequence[str], rows: int, label: str =
     if kind == "logistic_regression":
         # sum(loss) * C + |w|^2 / 2 is, divided by C * rows, Spark's mean loss + regParam * |w|^2 / 2.
         model = LogisticRegression(regParam=1.0 / (p["C"] * rows), elasticNetParam=0.0,
-                                   standardization=False, maxIter=p["max_iter"], **common)
+                                   standardization=False, maxIter=p["max_iter"], tol=TOLERANCE, **common)
     elif kind == "random_forest":
         model = RandomForestClassifier(numTrees=p["trees"], maxDepth=p["depth"], minInstancesPerNode=p["min_rows"],
                                        seed=SEED, **common)
     else:
-        early = {}
-        if p.get("validation_column"):
-            early = {"validationIndicatorCol": p["validation_column"], "validationTol": p.get("tolerance", 0.01)}
         model = GBTClassifier(maxIter=p["trees"], maxDepth=p["depth"], stepSize=p["step"],
                               subsamplingRate=p["rows"], featureSubsetStrategy=str(p["columns"]),
                               minInstancesPerNode=p.get("min_rows", 1), minInfoGain=p.get("min_gain", 0.0),
-                              seed=SEED, **early, **common)
+                              seed=SEED, **common)
     return Pipeline(stages=[*stages, model])
 
 
@@ -102,8 +103,6 @@ def train(df: DataFrame, kind: str, features: Sequence[str], version: str = "unv
     weights = class_weights(df)
     rows = weights.negatives + weights.positives
     needed = [*features, policy.TARGET]
-    if overrides.get("validation_column"):
-        needed.append(overrides["validation_column"])
     fit_on = add_class_weight(df.select(*needed), weights)
     start = time.time()
     pipeline = build_estimator(kind, features, rows, **overrides).fit(fit_on)
@@ -232,33 +231,69 @@ def draw_trials(count: int, seed: int = SEED, space: dict | None = None) -> list
     return out
 
 
+TRIALS = ("trial int, rung int, trees int, val_roc_auc double, val_avg_precision double, parameters string")
+
+
 def search(features: DataFrame, columns: Sequence[str], trials: int, trees: int = 100,
            kind: str = "boosted_trees_balanced", space: dict | None = None, seed: int = SEED) -> DataFrame:
-    """Random search maximising validation ROC-AUC; the trial table.
+    """Random search maximising validation ROC-AUC; the trial table."""
+    return halving_search(features, columns, trials, (trees,), 1, kind, space, seed)
+
 
-    Each trial is a distributed fit; the trial table has one row per trial.
+def halving_search(features: DataFrame, columns: Sequence[str], trials: int = 27, rungs: Sequence[int] = (30, 90, 270),
+                   keep: int = 3, kind: str = "boosted_trees_balanced", space: dict | None = None, seed: int = SEED,
+                   side_by_side: int = 4) -> DataFrame:
+    """Successive halving: all trials with few trees, the best 1/``keep`` of them with more, and so on.
+
+    Features are assembled and written once for all trials. The trials of a rung run side by side, each in a scheduler
+    pool of its own (with FAIR scheduling they share the cluster evenly), so the small jobs of one fill the gaps of
+    another. Draws depend on the seed alone, ties go to the earlier trial, so the same trials go on every time. One row
+    a trial and rung.
     """
-    train_rows = features.filter(F.col("split") == "train")
-    validation = features.filter(F.col("split") == "validation")
-    log = []
-    for number, trial in enumerate(draw_trials(trials, seed, space)):
-        fitted = train(train_rows, kind, columns, trees=trees, **trial)
-        row = metrics.rank_metrics(predict(validation, fitted.model, keep=[policy.TARGET])).first()
-        log.append((number, row["roc_auc"], row["pr_auc"], json.dumps(trial, sort_keys=True)))
-    return features.sparkSession.createDataFrame(
-        log, "trial int, val_roc_auc double, val_avg_precision double, parameters string")
+    if kind not in ("boosted_trees", "boosted_trees_balanced"):
+        raise ValueError(f"Halving grows ensembles tree by tree, so {kind} can't be searched")
+    spark = features.sparkSession
+    policy.refuse_leakage(columns)
+    policy.require_features(features.columns, columns)
+    weights = class_weights(features.filter(F.col("split") == "train"))
+    rows = add_class_weight(features.filter(F.col("split").isin("train", "validation")), weights)
+    assembled = materialise(VectorAssembler(inputCols=list(columns), outputCol="assembled").transform(rows)
+                            .select("assembled", WEIGHT, policy.TARGET, "split"), "assembled")
+    train_rows, validation = (assembled.filter(F.col("split") == s) for s in ("train", "validation"))
+    drawn = draw_trials(trials, seed, space)
+
+    def run(number: int, size: int) -> tuple:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{number}")
+        try:
+            stage = build_estimator(kind, columns, weights.negatives + weights.positives, trees=size,
+                                    **drawn[number]).getStages()[-1]
+            scored = stage.fit(train_rows).transform(validation)
+            row = metrics.rank_metrics(scored.select(policy.TARGET, vector_to_array("probability")[1].alias("pd"))).first()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        return row["roc_auc"], row["pr_auc"]
+
+    log, left = [], list(range(trials))
+    for rung, size in enumerate(rungs):
+        with ThreadPoolExecutor(max_workers=side_by_side) as pool:
+            found = list(pool.map(inheritable_thread_target(spark)(run), left, [size] * len(left)))
+        log += [(n, rung, size, roc, pr, json.dumps({**drawn[n], "trees": size}, sort_keys=True))
+                for n, (roc, pr) in zip(left, found)]
+        best = sorted(zip(left, found), key=lambda x: (-(x[1][0] or 0.0), x[0]))
+        left = sorted(n for n, _ in best[:max(1, len(left) // keep)])
+    return spark.createDataFrame(log, TRIALS)
 
 
 def best_trial(trials: DataFrame) -> dict:
-    """Parameters of the best trial, the earliest on ties."""
-    best = trials.agg(F.max_by("parameters", F.struct("val_roc_auc", -F.col("trial")))).first()[0]
+    """Parameters of the best trial of the last rung, the earliest on ties."""
+    best = trials.agg(F.max_by("parameters", F.struct("rung", "val_roc_auc", -F.col("trial")))).first()[0]
     return json.loads(best)
 
 
 def trial_history(trials: DataFrame) -> DataFrame:
     """Best value so far by trial number (G14); one row per trial, a small table."""
-    so_far = Window.orderBy("trial").rowsBetween(Window.unboundedPreceding, 0)
-    return trials.select("trial", "val_roc_auc", F.max("val_roc_auc").over(so_far).alias("best_so_far"))
+    so_far = Window.orderBy(*[c for c in ("rung", "trial") if c in trials.columns]).rowsBetween(Window.unboundedPreceding, 0)
+    return trials.select(*[c for c in ("rung",) if c in trials.columns], "trial", "val_roc_auc", F.max("val_roc_auc").over(so_far).alias("best_so_far"))
 
 
 def refit(features: DataFrame, columns: Sequence[str], parameters: dict,
@@ -267,12 +302,11 @@ def refit(features: DataFrame, columns: Sequence[str], parameters: dict,
     return train(features.filter(F.col("split").isin("train", "validation")), kind, columns, **parameters, **overrides)
 
 
-def fit_with_early_stop(features: DataFrame, columns: Sequence[str], tolerance: float = 0.01,
-                        kind: str = "boosted_trees_balanced", **overrides) -> Trained:
-    """Boosting that stops when the validation window no longer improves."""
-    marked = (features.filter(F.col("split").isin("train", "validation"))
-              .withColumn("is_validation", F.col("split") == "validation"))
-    return train(marked, kind, columns, validation_column="is_validation", tolerance=tolerance, **overrides)
+def fit_with_early_stop(features: DataFrame, columns: Sequence[str], patience: int = staging.PATIENCE,
+                        kind: str = "boosted_trees_balanced", version: str = "early-stop", **overrides) -> staging.Stopped:
+    """Boosting on training rows, cut where the validation ROC-AUC was best before patience ran out."""
+    trained = train(features.filter(F.col("split") == "train"), kind, columns, version, **overrides)
+    return staging.cut_at_best(trained.model, features.filter(F.col("split") == "validation"), patience)
 
 
 def compare_models(features: DataFrame, columns: Sequence[str], extra: dict[str, Trained] | None = None,

@@ -47,6 +47,12 @@ def score_table(df: DataFrame, score: str = "pd", label: str = "default",
     counts = (df.select(*keys, present(F.col(score).cast("double"), f"Score {score}").alias("score"), F.col(label).alias("y"))
               .groupBy(*keys, "score")
               .agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")))
+    return running_counts(counts, edges, group)
+
+
+def running_counts(counts: DataFrame, edges: list[float], group: str | None = None) -> DataFrame:
+    """``score_table`` of rows ([group], score, pos, neg), one a score, cut at ``edges``."""
+    keys = [group] if group else []
     if edges:
         counts = grid_bucket(counts, "score", edges, "range_no")
     else:

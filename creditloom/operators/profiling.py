@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,13 +13,17 @@ from pyspark.sql import types as T
 
 from creditloom import policy
 from creditloom.functions import bins
-from creditloom.operators.features import correlation_with_target, pearson
+from creditloom.operators.comoments import correlation_table
+from creditloom.operators.features import correlation_with_target
 from creditloom.operators.quantiles import exact_quantiles
 
 # What the numeric summary reports.
 SUMMARY_QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 KDE_POINTS = 1000
+SKETCH_PRECISION = 12
 KDE_FACTOR = 0.3
+KDE_NODES = 64          # nodes to a kernel width
+KDE_MOST = 1 << 18      # nodes of a column and class, whatever its range
 
 
 def _long(df: DataFrame, columns: Sequence[str], value, keep: Sequence[str] = ()) -> DataFrame:
@@ -38,8 +42,9 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approxim
     """Type, filled cells, missing share and distinct values per column (M1).
 
     Exact distinct counts use narrow (column, value) rows that are combined on
-    the map side; a multi-column ``count(distinct)`` would widen every row by
-    the number of columns. ``approximate`` uses one sketch per column instead.
+    the map side, numbers as numbers and all else as text; a multi-column
+    ``count(distinct)`` would widen every row by the number of columns.
+    ``approximate`` uses one sketch per column instead.
     """
     columns = list(columns or df.columns)
     kinds = F.create_map(*[F.lit(x) for c in columns for x in (c, dict(df.dtypes)[c])])
@@ -50,16 +55,50 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, approxim
         counted = _stack(row, columns, lambda i, c: [
             F.col(f"f{i}").alias("non_null"), F.col(f"d{i}").alias("distinct"), F.col("n").alias("rows")])
     else:
-        cells = _long(df, columns, lambda c: F.col(c).cast("string"))
-        counted = (cells.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-                   .groupBy("feature").agg(
-                       F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
-                       F.count("value").alias("distinct"), F.sum("n").alias("rows")))
+        numbers = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)
+                   and not isinstance(f.dataType, (T.DecimalType, T.LongType))}  # what a double holds exactly
+        entries = F.array(*[F.struct(
+            F.lit(i).alias("i"), (F.col(c).cast("double") if c in numbers else F.lit(None).cast("double")).alias("number"),
+            (F.lit(None).cast("string") if c in numbers else F.col(c).cast("string")).alias("text"))
+            for i, c in enumerate(columns)])
+        there = F.col("number").isNotNull() | F.col("text").isNotNull()
+        counted = (df.select(F.inline(entries)).groupBy("i", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+                   .groupBy("i").agg(F.sum(F.when(there, F.col("n")).otherwise(0)).alias("non_null"),
+                                     F.count_if(there).alias("distinct"), F.sum("n").alias("rows"))
+                   .select(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1).alias("feature"),
+                           "non_null", "distinct", "rows"))
     return counted.select("feature", F.element_at(kinds, F.col("feature")).alias("data_type"), "non_null",
                           (100 * (F.col("rows") - F.col("non_null")) / F.col("rows")).alias("null_pct"),
                           "distinct")
 
 
+def profile_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str], precision: int = SKETCH_PRECISION) -> DataFrame:
+    """What a profile needs, per part of the data: rows, filled cells and a distinct-value sketch of each column.
+
+    One scan gives a table of a few kilobytes per part and column. Stored, it answers for any union of parts: a new
+    month adds its own rows, and nothing is read again.
+    """
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs += [F.count(F.col(c)).alias(f"f{i}"), F.hll_sketch_agg(F.col(c).cast("string"), precision).alias(f"s{i}")]
+    row = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *aggs)
+    return row.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col("n").alias("rows"), F.col(f"f{i}").alias("non_null"),
+                 F.col(f"s{i}").alias("sketch")) for i, c in enumerate(columns)])))
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """The profile of all parts in ``sketches``: filled cells and missing share exactly, distinct values estimated.
+
+    The estimate's standard error is 1.04 / sqrt(2 ** precision) of the value, 1.6 % at the default.
+    """
+    return (sketches.groupBy("feature").agg(
+        F.sum("rows").alias("rows"), F.sum("non_null").alias("non_null"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"))
+        .select("feature", "rows", "non_null", (100 * F.try_divide(F.col("rows") - F.col("non_null"), F.col("rows")))
+                .alias("null_pct"), "distinct"))
+
+
 def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct labels of text columns, largest first."""
     return (column_profile(df, columns, approximate).select("feature", "distinct")
@@ -176,12 +215,7 @@ def top_correlates(df: DataFrame, columns: Sequence[str], label: str = policy.TA
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Lower triangle of the correlation matrix (M10), pairwise complete rows."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    entries = F.array(*[F.struct(F.lit(a).alias("feature"), F.lit(b).alias("other"),
-                                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                        for a, b in pairs])
-    return (df.select(F.inline(entries)).groupBy("feature", "other")
-            .agg(pearson(F.col("x"), F.col("y")).alias("correlation")))
+    return correlation_table(df, list(columns))
 
 
 def rate_by_bin(df: DataFrame, column: str, n_bins: int = 20, label: str = policy.TARGET) -> DataFrame:
@@ -206,12 +240,34 @@ def rate_by_bin(df: DataFrame, column: str, n_bins: int = 20, label: str = polic
                     "default_rate", "rows"))
 
 
+def _node_weights(df: DataFrame, series: list, grids: dict, label: str) -> DataFrame:
+    """(series, node, weight): every value's weight shared between the two grid nodes around it, in one scan."""
+    y = F.col(label)
+    places = F.array(*[F.struct(F.lit(float(grids[i][0] if i in grids else 0)).alias("low"),
+                                F.lit(float(grids[i][2] if i in grids else 1)).alias("gap"),
+                                F.lit(i in grids).alias("used")) for i in range(len(series))])
+    columns = list(dict.fromkeys(c for c, _ in series))
+    cells = df.where(y.isin(0, 1)).select(F.inline(F.array(*[
+        F.struct((F.lit(2 * k) + y.cast("int")).alias("series"), F.col(c).cast("double").alias("value"))
+        for k, c in enumerate(columns)]))).where("value is not null")
+    at = F.element_at(places, F.col("series") + 1)
+    placed = cells.where(at["used"]).select("series", ((F.col("value") - at["low"]) / at["gap"]).alias("place"))
+    node = F.floor("place").alias("node")
+    binned = (placed.select("series", node, (F.col("place") - F.floor("place")).alias("part"))
+              .groupBy("series", "node").agg(F.count(F.lit(1)).alias("n"), F.sum("part").alias("part")))
+    both = F.array(F.struct(F.col("node"), (F.col("n") - F.col("part")).alias("weight")),
+                   F.struct((F.col("node") + 1).alias("node"), F.col("part").alias("weight")))
+    return binned.select("series", F.inline(both)).groupBy("series", "node").agg(F.sum("weight").alias("weight"))
+
+
 def density_by_class(df: DataFrame, columns: Sequence[str], label: str = policy.TARGET,
-                     points: int = KDE_POINTS, factor: float = KDE_FACTOR) -> DataFrame:
-    """Gaussian kernel density per column and class on a fixed grid.
+                     points: int = KDE_POINTS, factor: float = KDE_FACTOR, nodes: int = KDE_NODES) -> DataFrame:
+    """Gaussian kernel density per column and class on a fixed grid (M12), from linearly binned values.
 
-    Each task adds its rows' kernels onto the grid and hands on one partial sum
-    per grid point, so what is shuffled does not depend on the row count.
+    Each value's weight is shared between the two nodes around it, ``nodes`` to a kernel width, in one aggregation on the
+    JVM. What is evaluated against the grid are the occupied nodes of a column and class, KDE_MOST at most, however many
+    rows there are. ``error_bound`` is the largest distance from the direct sum over all values: with nodes d apart and
+    width h the kernel between two nodes is off by d * d / 8 times its largest second derivative at most.
     """
     y = F.col(label)
     series = [(c, v) for c in columns for v in (0, 1)]
@@ -221,42 +277,43 @@ def density_by_class(df: DataFrame, columns: Sequence[str], label: str = policy.
         aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.count(x).alias(f"n{i}")]
     row = df.agg(*aggs).first()
-    grids: dict[int, tuple[float, float, float]] = {}
-    scale = []
-    for i in range(len(series)):
+    grids: dict[int, tuple[float, float, float]] = {}    # lowest value, kernel width, gap between nodes
+    facts = []
+    for i, (c, v) in enumerate(series):
         width = factor * row[f"s{i}"] if row[f"n{i}"] > 1 else 0.0
         if width:
-            reach = row[f"hi{i}"] - row[f"lo{i}"]
-            grids[i] = (row[f"lo{i}"] - 0.5 * reach, row[f"hi{i}"] + 0.5 * reach, width)
-            scale.append((i, row[f"n{i}"] * width * math.sqrt(2 * math.pi)))
-
-    def add_kernels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = {i: np.zeros(points) for i in grids}
-        for batch in batches:
-            for i, part in batch.groupby("series"):
-                if i not in grids:
-                    continue
-                low, high, width = grids[i]
-                grid = np.linspace(low, high, points)
-                values, weights = np.unique(part["value"].to_numpy(), return_counts=True)
-                for start in range(0, len(values), 1000):
-                    z = (grid[None, :] - values[start:start + 1000, None]) / width
-                    sums[i] += weights[start:start + 1000] @ np.exp(-0.5 * z * z)
-        for i, total in sums.items():
-            yield pd.DataFrame({"series": i, "point": np.arange(points), "total": total})
-
-    cells = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("series"), F.when(y == v, F.col(c).cast("double")).alias("value"))
-        for i, (c, v) in enumerate(series)]))).filter(F.col("value").isNotNull())
-    partial = cells.mapInPandas(add_kernels, "series int, point int, total double")
-    info = F.create_map(*[x for i, area in scale for x in (F.lit(i), F.struct(
-        F.lit(series[i][0]).alias("feature"), F.lit(series[i][1]).alias("label"), F.lit(grids[i][0]).alias("low"),
-        F.lit((grids[i][1] - grids[i][0]) / (points - 1)).alias("step"), F.lit(area).alias("area")))])
-    fact = F.element_at(info, F.col("series"))
-    return (partial.groupBy("series", "point").agg(F.sum("total").alias("total"))
-            .select(fact["feature"].alias("feature"), fact["label"].alias(label), "point",
-                    (F.col("point") * fact["step"] + fact["low"]).alias("x"),
-                    (F.col("total") / fact["area"]).alias("density")))
+            low, high = row[f"lo{i}"], row[f"hi{i}"]
+            gap = max(width / nodes, (high - low) / KDE_MOST)
+            grids[i] = (low, width, gap)
+            start, end = low - 0.5 * (high - low), high + 0.5 * (high - low)
+            facts += [F.lit(i), F.struct(
+                F.lit(c).alias("feature"), F.lit(v).alias("label"), F.lit(start).alias("low"),
+                F.lit((end - start) / (points - 1)).alias("step"),
+                F.lit(row[f"n{i}"] * width * math.sqrt(2 * math.pi)).alias("area"),
+                F.lit(gap * gap / (8 * math.sqrt(2 * math.pi) * width ** 3)).alias("bound"))]
+    if not grids:
+        return df.sparkSession.createDataFrame([], f"feature string, {label} int, point int, x double, density double, "
+                                                   "error_bound double")
+
+    def on_grid(frame: pd.DataFrame) -> pd.DataFrame:
+        i = int(frame["series"].iloc[0])
+        low, width, gap = grids[i]
+        reach = row_range[i]
+        grid = np.linspace(low - 0.5 * reach, low + 1.5 * reach, points)
+        place, weight = low + gap * frame["node"].to_numpy(dtype=float), frame["weight"].to_numpy()
+        total = np.zeros(points)
+        for first in range(0, len(place), 1000):
+            z = (grid[None, :] - place[first:first + 1000, None]) / width
+            total += weight[first:first + 1000] @ np.exp(-0.5 * z * z)
+        return pd.DataFrame({"series": i, "point": np.arange(points), "total": total})
+
+    row_range = {i: row[f"hi{i}"] - row[f"lo{i}"] for i in grids}
+    sums = _node_weights(df, series, grids, label).groupBy("series").applyInPandas(
+        on_grid, "series int, point int, total double")
+    fact = F.element_at(F.create_map(*facts), F.col("series"))
+    return sums.select(fact["feature"].alias("feature"), fact["label"].alias(label), "point",
+                       (F.col("point") * fact["step"] + fact["low"]).alias("x"),
+                       (F.col("total") / fact["area"]).alias("density"), fact["bound"].alias("error_bound"))
 
 
 def skewness_ranking(df: DataFrame, columns: Sequence[str], top: int = 5) -> DataFrame:

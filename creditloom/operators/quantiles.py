@@ -76,9 +76,12 @@ def _finish(df: DataFrame, groups: list[list[_Search]]) -> None:
             s.value = float(value)
 
 
+SLACK = 2.0 / SKETCH_ACCURACY
+
+
 def _narrow(df: DataFrame, groups: list[list[_Search]]) -> None:
     """Shrink every search interval to the part that holds its rank."""
-    slack = 2.0 / SKETCH_ACCURACY
+    slack = SLACK
     sketch = []
     for i, g in enumerate(groups):
         ends = [end for s in g for end in (max(s.rank / max(s.rows - 1, 1) - slack, 0.0),
@@ -86,12 +89,15 @@ def _narrow(df: DataFrame, groups: list[list[_Search]]) -> None:
         sketch.append(F.percentile_approx(g[0].inside(), F.array(*[F.lit(e) for e in ends]),
                                           F.lit(SKETCH_ACCURACY)).alias(f"s{i}"))
     found = df.agg(*sketch).first()
+    _settle(df, [(s, found[i][2 * j], found[i][2 * j + 1]) for i, g in enumerate(groups) for j, s in enumerate(g)])
 
-    # Each search gets its bracket; searches with equal brackets share one count.
+
+def _settle(df: DataFrame, bracketed: list[tuple[_Search, float, float]]) -> None:
+    """Count around each search's bracket and go on in the part that holds its rank."""
+    # Searches with equal brackets share one count.
     brackets: dict[tuple, list[_Search]] = {}
-    for i, g in enumerate(groups):
-        for j, s in enumerate(g):
-            brackets.setdefault((s.interval, found[i][2 * j], found[i][2 * j + 1]), []).append(s)
+    for s, low, high in bracketed:
+        brackets.setdefault((s.interval, low, high), []).append(s)
     counts = []
     for i, ((_, low, high), members) in enumerate(brackets.items()):
         value = members[0].inside()
@@ -116,10 +122,18 @@ def _narrow(df: DataFrame, groups: list[list[_Search]]) -> None:
 
 def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]],
                      rows: Mapping[str, int], finish_values: int = FINISH_VALUES,
+                     brackets: Mapping[tuple[str, int], tuple[float, float]] | None = None,
                      ) -> dict[tuple[str, int], float]:
-    """Exact value at each 0-based rank of the non-null values of each column."""
+    """Exact value at each 0-based rank of the non-null values of each column.
+
+    ``brackets`` are first guesses (low, high) around ranks, from a sketch made in an earlier scan; a wrong one costs a
+    further step, nothing else.
+    """
     searches = {(c, r): _Search(c, r, rows[c]) for c, rs in ranks.items() for r in set(rs)}
     open_ = list(searches.values())
+    if brackets and sum({s.interval: s.rows for s in open_}.values()) > finish_values:
+        _settle(df, [(s, *brackets[key]) for key, s in searches.items() if key in brackets])
+        open_ = [s for s in open_ if s.value is None]
     while open_:
         groups = sorted(_by_interval(open_), key=lambda g: g[0].rows)
         small, room = [], finish_values
@@ -157,14 +171,39 @@ class Quantile:
 def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]],
                     rows: Mapping[str, int] | None = None,
                     finish_values: int = FINISH_VALUES) -> dict[str, dict[float, Quantile]]:
-    """Linear-interpolated quantiles per column; a column without values is left out."""
+    """Linear-interpolated quantiles per column; a column without values is left out.
+
+    Without ``rows`` one scan counts the values and brackets every quantile with a sketch.
+    """
     if not wanted:
         return {}
+    sketched = None
     if rows is None:
-        names = list(wanted)
-        row = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(names)]).first()
-        rows = {c: row[i] for i, c in enumerate(names)}
+        rows, sketched = counts_and_brackets(df, wanted)
+    return settled_quantiles(df, wanted, rows, sketched or {}, finish_values)
+
+
+def counts_and_brackets(df: DataFrame, wanted: Mapping[str, Sequence[float]],
+                        ) -> tuple[dict[str, int], dict[tuple[str, float], tuple[float, float]]]:
+    """Non-null values per column, and (low, high) around each quantile: one scan, constant-size mergeable states."""
+    names, aggs = list(wanted), []
+    for i, c in enumerate(names):
+        ends = [end for q in wanted[c] for end in (max(q - SLACK, 0.0), min(q + SLACK, 1.0))]
+        aggs += [F.count(F.col(c)).alias(f"n{i}"),
+                 F.percentile_approx(F.col(c).cast("double"), F.array(*[F.lit(e) for e in ends]), F.lit(SKETCH_ACCURACY))
+                 .alias(f"s{i}")]
+    row = df.agg(*aggs).first()
+    rows = {c: row[f"n{i}"] for i, c in enumerate(names)}
+    return rows, {(c, q): tuple(row[f"s{i}"][2 * j:2 * j + 2]) for i, c in enumerate(names) if rows[c]
+                  for j, q in enumerate(wanted[c])}
+
+
+def settled_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], rows: Mapping[str, int],
+                      sketched: Mapping[tuple[str, float], tuple[float, float]],
+                      finish_values: int = FINISH_VALUES) -> dict[str, dict[float, Quantile]]:
+    """The exact quantiles, given the counts and brackets of an earlier scan."""
     ranks: dict[str, list[int]] = {}
+    brackets: dict[tuple[str, int], tuple[float, float]] = {}
     places: dict[str, dict[float, tuple[int, int, float]]] = {}
     for c, qs in wanted.items():
         if rows[c] == 0:
@@ -175,7 +214,9 @@ def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]],
             high = min(low + 1, rows[c] - 1)
             places.setdefault(c, {})[q] = (low, high, position - low)
             ranks.setdefault(c, []).extend((low, high))
-    values = order_statistics(df.select(*ranks), ranks, rows, finish_values)
+            if (c, q) in sketched:
+                brackets[c, low] = brackets[c, high] = sketched[c, q]
+    values = order_statistics(df.select(*ranks), ranks, rows, finish_values, brackets)
     return {c: {q: Quantile(values[c, low], values[c, high], weight)
                 for q, (low, high, weight) in per.items()}
             for c, per in places.items()}

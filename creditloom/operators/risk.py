@@ -62,11 +62,15 @@ def portfolio_view(df: DataFrame, threshold: float, lgd: float = DEFAULT_LGD, **
 
 
 def band_distribution(df: DataFrame, lgd: float = DEFAULT_LGD, pd: str = "pd", ead: str = "ead") -> DataFrame:
-    """Loans, exposure and expected loss per band; every band appears, and Unknown for loans without a probability (K5)."""
+    """Loans, exposure and expected loss per band; every band appears, and Unknown for loans without a probability (K5).
+
+    The loss of loans without a probability is not known: it is NULL, not 0.
+    """
     grouped = (add_risk(df, pd, ead, lgd).groupBy("risk_band")
                .agg(F.count(F.lit(1)).alias("loans"), F.sum(ead).alias("exposure"),
                     F.sum("expected_loss").alias("expected_loss")))
     spine = df.sparkSession.range(1).select(
         F.posexplode(F.array(*[F.lit(b) for b in (*BAND_ORDER, "Unknown")])).alias("position", "risk_band"))
     return (spine.join(F.broadcast(grouped), "risk_band", "left")
-            .na.fill(0, ["loans"]).na.fill(0.0, ["exposure", "expected_loss"]))
+            .withColumns({"loans": F.coalesce("loans", F.lit(0).cast("long")), "exposure": F.coalesce("exposure", F.lit(0.0)),
+                          "expected_loss": F.when(F.col("loans").isNull(), F.lit(0.0)).otherwise(F.col("expected_loss"))}))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom import policy
-from creditloom.operators.quantiles import order_statistics
+from creditloom.session import materialise
 
 WINDOWS = ("train", "validation", "test")
 STRATEGY = "time_based_issue_d"
+HASHES = 1 << 60
 
 
 @dataclass(frozen=True)
@@ -91,30 +93,29 @@ def sample_hash(key: Column, seed: int) -> Column:
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42, key: str = policy.KEY) -> DataFrame:
-    """Exactly n rows without replacement, repeatable for a given seed.
+    """Exactly n rows without replacement, repeatable for a given seed (D6): those with the smallest hash, then key.
 
-    The n-th smallest hash is found with bounded memory and becomes a filter:
-    nothing is sorted and no row moves.
+    One scan counts the rows. The n-th smallest of so many uniform hashes lies close to n / total, so a second scan writes
+    the (hash, key) pairs up to a limit a little above that. Of these only the ones beyond a limit a little below, some
+    twelve square roots of n, are put in order: the last one taken is the filter. No row is sorted or moved.
+    Keys are unique; rows without one are never drawn.
     """
     hashed = df.withColumn("_h", sample_hash(F.col(key), seed))
-    total = hashed.count()
+    total = df.agg(F.count(key)).first()[0]
     if total <= n:
-        return df
-    # 60-bit hashes do not fit a double exactly, so the rank is searched in two halves.
-    halves = hashed.select(F.col(key), F.col("_h"),
-                           F.shiftright("_h", 30).cast("double").alias("_top"),
-                           F.col("_h").bitwiseAND(F.lit((1 << 30) - 1)).cast("double").alias("_low"))
-    top = order_statistics(halves.select("_top"), {"_top": [n - 1]}, {"_top": total})["_top", n - 1]
-    below = halves.filter(F.col("_top") < F.lit(top)).count()
-    level = halves.filter(F.col("_top") == F.lit(top))
-    rank, size = n - 1 - below, level.count()
-    low = order_statistics(level.select("_low"), {"_low": [rank]}, {"_low": size})["_low", rank]
-    cut = (int(top) << 30) + int(low)
-    on_cut = level.filter(F.col("_low") == F.lit(low))
-    taken_before = below + level.filter(F.col("_low") < F.lit(low)).count()
-    if taken_before + on_cut.count() == n:
-        return hashed.filter(F.col("_h") <= F.lit(cut)).drop("_h")
-    # Equal hashes at the cut: settle the rest by key (practically never reached).
-    rest = on_cut.select(key).orderBy(key).limit(n - taken_before).withColumn("_rest", F.lit(True))
-    return (hashed.join(rest, key, "left")
-            .filter((F.col("_h") < F.lit(cut)) | F.col("_rest")).drop("_h", "_rest"))
+        return df.filter(F.col(key).isNotNull())
+    if n <= 0:
+        return df.filter(F.lit(False))
+    slack = 6 * math.sqrt(n) + 20
+    while True:
+        low, high = (int(HASHES * min(max(rank / total, 0), 1)) for rank in (n - slack, n + slack))
+        near = materialise(hashed.select(F.col("_h"), F.col(key).alias("_k")).filter(F.col("_h") <= F.lit(high)), "sample")
+        counted = near.agg(F.count_if(F.col("_h") < F.lit(low)).alias("below"), F.count(F.lit(1)).alias("all")).first()
+        if counted["below"] < n <= counted["all"]:
+            break
+        slack *= 8      # repeated keys share a hash; else one in a hundred million runs comes here
+    last = (near.filter(F.col("_h") >= F.lit(low)).orderBy("_h", "_k").limit(n - counted["below"])
+            .agg(F.max(F.struct("_h", "_k")).alias("m"), F.count(F.lit(1)).alias("n")).first())
+    cut, on_key = F.lit(last["m"]["_h"]), F.lit(last["m"]["_k"])
+    taken = (F.col("_h") < cut) | ((F.col("_h") == cut) & (F.col(key) <= on_key))
+    return hashed.filter(taken).drop("_h")

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from creditloom import policy
+from creditloom.session import materialise
 
 # Raw columns that hold text; every other raw column is a number.
 TEXT_COLUMNS = frozenset((
@@ -38,20 +40,69 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return first.names
 
 
-def read_raw_csv(spark: SparkSession, path: str, partitions: int | None = None, multi_line: bool = True) -> DataFrame:
-    """Raw loans from (gzipped) CSV with a header (A1).
+@dataclass(frozen=True)
+class Read:
+    """What a file held: rows as they should be, and (file, record, reason) of each record that is not."""
 
-    A gzip file is one task's work, so its rows are dealt out right after
-    reading; a folder of many files is already spread. Quoted text may hold line
-    breaks; ``multi_line=False`` is for plain text known to have none, as only
-    then large files are read in pieces.
+    rows: DataFrame
+    rejects: DataFrame
+
+
+_BAD = "_malformed"
+
+
+def _csv_options(multi_line: bool) -> dict:
+    return {"header": True, "enforceSchema": False, "escape": '"', "multiLine": multi_line, "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": _BAD}
+
+
+def _has_gzip(spark: SparkSession, path: str) -> bool:
+    return any(name.endswith(".gz") for name in spark.read.text(path).inputFiles())
+
+
+def _reason(schema: T.StructType) -> Column:
+    """Why a record is no row: its number of cells, or the numbers that cannot be read."""
+    text = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema], T.StructField(_BAD, T.StringType())])
+    cells = F.from_csv(F.col(_BAD), text.simpleString()[7:-1].replace(":", " "),
+                       {"escape": '"', "columnNameOfCorruptRecord": _BAD, "multiLine": "true"})
+    odd = F.filter(F.array(*[F.when(cells[f.name].try_cast(f.dataType).isNull() & cells[f.name].isNotNull(), F.lit(f.name))
+                             for f in schema if not isinstance(f.dataType, T.StringType)]), lambda c: c.isNotNull())
+    return (F.when(cells[_BAD].isNotNull(), F.lit(f"not {len(schema)} cells"))
+            .when(F.size(odd) > 0, F.concat(F.lit("not a number: "), F.array_join(odd, ", ")))
+            .otherwise(F.lit("unreadable")))
+
+
+def read_checked_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool | None = None) -> Read:
+    """Rows and rejects of CSV with a header.
+
+    A record with another number of cells, or with text where a number belongs, is no row: it is kept as it stood, with
+    its file and the reason. Both tables come from one written copy, as a text file is worth reading only once.
+    ``multi_line`` lets quoted text hold line breaks, which makes each file one task's work. That costs nothing for gzip,
+    where it is the default; plain text is read in pieces unless asked for.
     """
-    schema = raw_schema(_header(spark, path))
-    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-          .option("escape", '"').option("multiLine", multi_line).csv(path))
-    if partitions:
-        df = df.repartition(partitions)
-    return df.transform(nan_to_null).transform(with_key)
+    if multi_line is None:
+        multi_line = _has_gzip(spark, path)
+    marked = T.StructType([*schema, T.StructField(_BAD, T.StringType())])
+    raw = spark.read.schema(marked).options(**_csv_options(multi_line)).csv(path)
+    stored = materialise(raw.withColumn("_file", F.col("_metadata.file_path")), "csv")
+    rejects = stored.where(F.col(_BAD).isNotNull()).select(
+        F.col("_file").alias("file"), F.col(_BAD).alias("record"), _reason(schema).alias("reason"))
+    return Read(stored.where(F.col(_BAD).isNull()).drop(_BAD, "_file").transform(nan_to_null), rejects)
+
+
+def read_raw(spark: SparkSession, path: str, multi_line: bool | None = None) -> Read:
+    """Raw loans from (gzipped) CSV with a header, and what is not one (A1)."""
+    read = read_checked_csv(spark, path, raw_schema(_header(spark, path)), multi_line)
+    return Read(read.rows.transform(with_key), read.rejects)
+
+
+def read_raw_csv(spark: SparkSession, path: str, partitions: int | None = None, multi_line: bool | None = None,
+                 rejects_path: str | None = None) -> DataFrame:
+    """The loans of ``read_raw``, dealt out over ``partitions``; its rejects are appended to ``rejects_path``."""
+    read = read_raw(spark, path, multi_line)
+    if rejects_path:
+        read.rejects.write.mode("append").parquet(rejects_path)
+    return read.rows.repartition(partitions) if partitions else read.rows
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -125,13 +176,21 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def read_applications(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """A batch of applications from CSV (A9). Term is a number of months here."""
-    names = _header(spark, path)
+def read_application_file(spark: SparkSession, path: str, multi_line: bool | None = True) -> Read:
+    """A batch of applications from CSV and the records that are none (A9). Term is a number of months here.
+
+    Titles come from people and hold line breaks, so these are expected; None asks for them in gzip files only.
+    """
     numeric_here = {"term", "int_rate", "emp_length", "revol_util"}
     fields = [T.StructField(f.name, T.DoubleType() if f.name in numeric_here else f.dataType)
-              for f in raw_schema(names)]
-    df = (spark.read.schema(T.StructType(fields)).option("header", True)
-          .option("enforceSchema", False).option("escape", '"').csv(path))
-    df = nan_to_null(df)
-    return df.limit(limit) if limit else df
+              for f in raw_schema(_header(spark, path))]
+    return read_checked_csv(spark, path, T.StructType(fields), multi_line)
+
+
+def read_applications(spark: SparkSession, path: str, limit: int | None = None,
+                      rejects_path: str | None = None) -> DataFrame:
+    """The applications of ``read_application_file``; its rejects are appended to ``rejects_path``."""
+    read = read_application_file(spark, path)
+    if rejects_path:
+        read.rejects.write.mode("append").parquet(rejects_path)
+    return read.rows.limit(limit) if limit else read.rows

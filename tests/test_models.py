@@ -111,3 +111,46 @@ def test_search_draws_are_repeatable():
 def test_trial_history(spark):
     df = spark.createDataFrame([(0, 0.6), (1, 0.5), (2, 0.7)], "trial int, val_roc_auc double")
     assert [r["best_so_far"] for r in models.trial_history(df).orderBy("trial").collect()] == [0.6, 0.6, 0.7]
+
+
+def test_kpi_stream_goes_on_after_a_stop(spark):
+    from creditloom.streaming import kpis
+    folder, out, state = (fresh_path(spark, n) for n in ("scored", "kpis", "state"))
+
+    def rows(*times):
+        return spark.createDataFrame([(t, 0.1 * i, i % 2, "High" if i % 3 else "Low") for i, t in enumerate(times, 1)],
+                                     "t string, default_probability double, prediction int, risk_tier string").select(
+            F.to_timestamp("t").alias("scored_at"), "default_probability", "prediction", "risk_tier").coalesce(1)
+
+    def run(*times):
+        rows(*times).write.mode("append").parquet(folder)
+        query = kpis.kpi_stream(kpis.scored_stream(spark, folder, rows(*times).schema, 1), "1 hour", "1 hour", out, state)
+        query.awaitTermination()
+        return kpis.late_rows(query)
+
+    hour = "2020-01-01 {:02d}:30:00".format
+    assert run(hour(1), hour(1), hour(2)) == 0
+    assert run(hour(2), hour(9)) == 0          # the second run takes the open windows up again
+    assert run(hour(10), hour(1)) == 1         # long after its window
+    got = {r["window_start"].hour: (r["scored"], r["flagged"], round(r["mean_probability"], 6), r["high_risk"])
+           for r in kpis.kpi_table(spark, out).collect()}
+    assert got == {1: (2, 1, 0.15, 2), 2: (2, 2, 0.2, 1), 9: (1, 0, 0.2, 1), 10: (1, 1, 0.1, 1)}
+
+
+def test_halving_is_repeatable_and_refuses_other_models(spark, table):
+    cols = ["int_rate", "fico_range_low", "dti"]
+    runs = [models.halving_search(table, cols, 3, (1, 2), 3, space={"depth": (2, 3, False), "step": (0.1, 0.3, True)}, side_by_side=2)
+            .orderBy("rung", "trial").collect() for _ in range(2)]
+    assert runs[0] == runs[1] and [r["rung"] for r in runs[0]] == [0, 0, 0, 1]
+    with pytest.raises(ValueError, match="tree by tree"):
+        models.halving_search(table, cols, 2, kind="random_forest")
+
+
+def test_threshold_report_of_a_stored_model(spark, folder, table):
+    from creditloom.plans import jobs
+    path, model = fresh_path(spark, "model"), learned.logistic(spark, folder)
+    scoring.save_scoring_model(model, spark, path)
+    strategies, against = jobs.threshold_report(spark, path, table, 0.5)
+    assert strategies.count() == 6
+    row = {r["metric"]: r for r in against.collect()}
+    assert abs(row["f1"]["saved"] - model.metrics["test_f1"]) < 1e-6

@@ -57,3 +57,14 @@ def test_other_seed_other_sample(spark):
     df = spark.range(500).withColumnRenamed("id", "loan_id")
     a = {r[0] for r in splitting.sample_rows(df, 50, seed=1).collect()}
     assert a != {r[0] for r in splitting.sample_rows(df, 50, seed=2).collect()}
+
+
+def test_sample_writes_little_more_than_it_takes(spark, monkeypatch):
+    written = []
+    plain = splitting.materialise
+    monkeypatch.setattr(splitting, "materialise", lambda df, name: written.append(plain(df, name)) or written[-1])
+    df = spark.range(200_000, numPartitions=8).withColumnRenamed("id", "loan_id")
+    assert splitting.sample_rows(df, 20_000).count() == 20_000
+    assert len(written) == 1 and 20_000 <= written[0].count() <= 22_000
+    with_gaps = df.limit(50).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS loan_id FROM range(30)"))
+    assert splitting.sample_rows(with_gaps, 50).count() == 50 and splitting.sample_rows(with_gaps, 0).count() == 0
