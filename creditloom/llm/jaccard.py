@@ -41,8 +41,9 @@ LOCAL_LEAST = 3
 PART_SHINGLES = 4
 #: Frequent tokens are spread over so many buckets, each with its own leader.
 SALTS = 8
-#: Rows of a key table (16 bytes each) up to which it is broadcast.
-BROADCAST_ROWS = 1_000_000
+#: Rows of a key table (16 bytes each) up to which it is broadcast; several are at a time, 30 MB on the driver in all.
+#: What is wider is left to Spark, which knows the size of each written table.
+BROADCAST_ROWS = 200_000
 _EMITTED = 100_000
 
 
@@ -202,7 +203,7 @@ def _open_rows(buckets: DataFrame, groups: DataFrame) -> DataFrame:
             .select("token", "sid", "n", "pos", "loose", F.coalesce("component", "sid").alias("grp")))
     mixed = (rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
              .where("low <> high").select("token"))
-    return materialise(rows.join(_small(materialise(mixed, "mixed")), "token"), "open")
+    return materialise(rows.join(materialise(mixed, "mixed"), "token"), "open")
 
 
 def _centre_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
@@ -210,7 +211,7 @@ def _centre_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     within = open_rows.groupBy("token", "grp").agg(
         F.count("*").alias("size"), F.min_by(F.struct("sid", "n", "pos"), F.struct("loose", "sid")).alias("head"))
     best = materialise(within.groupBy("token").agg(F.max_by(F.struct("grp", "head"), F.struct("size", "grp")).alias("top")), "centres")
-    return (open_rows.join(_small(best), "token").where("grp <> top.grp")
+    return (open_rows.join(best, "token").where("grp <> top.grp")
             .select("sid", "n", "pos", F.col("top.head.sid").alias("a"), F.col("top.head.n").alias("a_n"),
                     F.col("top.head.pos").alias("a_pos"))
             .where(_may_link("n", "pos", "a_n", "a_pos", percent)).select("a", F.col("sid").alias("b")).distinct())
