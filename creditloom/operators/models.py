@@ -33,15 +33,15 @@ TOLERANCE = 1e-9      # of the loss, so that the gradient at the end is small as
 PARAMETERS = {
     "logistic_regression": {"C": 1.0, "max_iter": 1000, "balanced": True},
     "random_forest": {"trees": 300, "depth": 10, "min_rows": 50, "balanced": True},
-    "boosted_trees": {"trees": 500, "depth": 6, "step": 0.05, "rows": 0.8, "columns": 0.8, "balanced": False},
-    "boosted_trees_balanced": {"trees": 500, "depth": 6, "step": 0.05, "rows": 0.8, "columns": 0.8, "balanced": True},
+    "boosted_trees": {"trees": 500, "depth": 6, "step": 0.05, "row_share": 0.8, "column_share": 0.8, "balanced": False},
+    "boosted_trees_balanced": {"trees": 500, "depth": 6, "step": 0.05, "row_share": 0.8, "column_share": 0.8, "balanced": True},
 }
 COMPARISON = {
     "baseline_two_features": ("logistic_regression", {"scaled": True}),
     "logistic_regression": ("logistic_regression", {"scaled": True, "max_iter": 500}),
     "random_forest": ("random_forest", {"trees": 80, "min_rows": 100}),
-    "boosted_trees": ("boosted_trees", {"trees": 180, "depth": 4, "step": 0.06, "rows": 0.85, "columns": 0.85}),
-    "boosted_trees_balanced": ("boosted_trees_balanced", {"trees": 250, "rows": 0.85, "columns": 0.85}),
+    "boosted_trees": ("boosted_trees", {"trees": 180, "depth": 4, "step": 0.06, "row_share": 0.85, "column_share": 0.85}),
+    "boosted_trees_balanced": ("boosted_trees_balanced", {"trees": 250, "row_share": 0.85, "column_share": 0.85}),
 }
 BASELINE_FEATURES = ("fico_range_low", "grade_enc")
 
@@ -82,7 +82,7 @@ def build_estimator(kind: str, features: Sequence[str], rows: int, label: str =
                                        seed=SEED, **common)
     else:
         model = GBTClassifier(maxIter=p["trees"], maxDepth=p["depth"], stepSize=p["step"],
-                              subsamplingRate=p["rows"], featureSubsetStrategy=str(p["columns"]),
+                              subsamplingRate=p["row_share"], featureSubsetStrategy=str(p["column_share"]),
                               minInstancesPerNode=p.get("min_rows", 1), minInfoGain=p.get("min_gain", 0.0),
                               seed=SEED, **common)
     return Pipeline(stages=[*stages, model])
@@ -211,7 +211,7 @@ def uplift(results: DataFrame, baseline_name: str) -> DataFrame:
 
 # Search space as (low, high, logarithmic).
 SEARCH_SPACE = {"depth": (4, 12, False), "min_rows": (10, 200, False), "step": (0.005, 0.2, True),
-                "rows": (0.5, 1.0, False), "columns": (0.5, 1.0, False), "min_gain": (0.0, 1.0, False)}
+                "row_share": (0.5, 1.0, False), "column_share": (0.5, 1.0, False), "min_gain": (0.0, 1.0, False)}
 
 
 def draw_trials(count: int, seed: int = SEED, space: dict | None = None) -> list[dict]:
