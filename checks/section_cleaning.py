@@ -90,14 +90,16 @@ def b12(spark, d):
     return cleaning.impute_text(frames.raw(spark, d, "emp_title", "grade"))
 
 
-@check("b13_downcast", f"WITH {frames.RAW} SELECT loan_id, CAST(annual_inc AS FLOAT) AS annual_inc, "
-       "CAST(installment AS FLOAT) AS installment FROM raw")
+_DOUBLES = [c for c in frames.NUMERIC if c not in ("term", "int_rate", "emp_length", "revol_util")]
+
+
+@check("b13_downcast", f"WITH {frames.RAW} SELECT loan_id, " + ", ".join(f"CAST({c} AS FLOAT) AS {c}" for c in _DOUBLES) + " FROM raw")
 def b13(spark, d):
-    return cleaning.downcast(frames.raw(spark, d, "annual_inc", "installment"))
+    return cleaning.downcast(frames.raw(spark, d, *_DOUBLES)).select("loan_id", *_DOUBLES)
 
 
-_AUDITED = ("term", "emp_length", "dti", "open_acc", "revol_bal", "emp_title", "grade")
-_AUDIT_TYPES = {"emp_title": "string", "grade": "string"}
+_AUDITED = (*frames.NUMERIC, *frames.TEXT)
+_AUDIT_TYPES = {c: "string" for c in frames.TEXT}
 
 
 @check("b14_null_audit", frames.PREP + " UNION ALL ".join(

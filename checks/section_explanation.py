@@ -40,7 +40,7 @@ long AS ({' UNION ALL '.join(f"SELECT loan_id, {i} AS position, '{c}' AS feature
 sided AS (SELECT *, CASE WHEN contribution > 0 THEN 'raises' ELSE 'lowers' END AS direction,
           row_number() OVER (PARTITION BY loan_id, contribution > 0 ORDER BY abs(contribution) DESC, feature) AS place
           FROM long WHERE contribution <> 0),
-told AS (SELECT loan_id, direction, CAST(place AS INTEGER) AS place, feature, value, contribution, {SENTENCE} AS explanation FROM sided WHERE place <= 3),
+told AS (SELECT loan_id, direction, CAST(place AS INTEGER) AS place, feature, value, contribution, {SENTENCE} AS explanation FROM sided WHERE place <= 5),
 imp AS (SELECT feature, avg(abs(contribution)) AS a, CASE WHEN stddev_pop(value) > 0 THEN corr(value, contribution) END AS r, min(value) < max(value) AS varied FROM long GROUP BY feature),
 ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY a DESC, feature) AS INTEGER) AS rank FROM imp)
 """
@@ -121,13 +121,13 @@ def l5(spark, d):
 
 @check("l6_local_drivers", LONG + "SELECT loan_id, direction, place, feature, round(contribution, 9) AS contribution FROM told")
 def l6(spark, d):
-    out = explanation.drivers_long(explanation.local_drivers(attributed(spark, d), 3))
+    out = explanation.drivers_long(explanation.local_drivers(attributed(spark, d)))
     return rounded(out.select("loan_id", "direction", "place", "feature", "contribution"), 9, "contribution")
 
 
 @check("l7_driver_sentences", LONG + "SELECT loan_id, direction, place, explanation FROM told")
 def l7(spark, d):
-    out = explanation.drivers_long(explanation.local_drivers(attributed(spark, d), 3))
+    out = explanation.drivers_long(explanation.local_drivers(attributed(spark, d)))
     return out.select("loan_id", "direction", "place", "explanation")
 
 
@@ -141,7 +141,7 @@ full_text AS (SELECT loan_id, concat_ws(chr(10) || chr(10), CASE WHEN up IS NOT
 
 @check("l8_explanation_text", LONG + "," + _TEXT + "SELECT loan_id, explanation_text FROM full_text")
 def l8(spark, d):
-    out = explanation.explanation_text(explanation.local_drivers(attributed(spark, d), 3))
+    out = explanation.explanation_text(explanation.local_drivers(attributed(spark, d)))
     return out.select("loan_id", "explanation_text")
 
 
@@ -149,21 +149,21 @@ def l8(spark, d):
   CASE WHEN pd < 0.10 THEN 'Low' WHEN pd < 0.20 THEN 'Medium' WHEN pd < 0.35 THEN 'High' ELSE 'Very High' END AS risk_label, explanation_text
 FROM x JOIN full_text USING (loan_id) ORDER BY pd DESC, loan_id LIMIT 1""")
 def l9(spark, d):
-    out = explanation.explanation_text(explanation.local_drivers(attributed(spark, d), 3))
+    out = explanation.explanation_text(explanation.local_drivers(attributed(spark, d)))
     return rounded(explanation.example_loan(out).select(
         "loan_id", "default", "pd", "base_value", "risk_label", "explanation_text"), 9, "base_value")
 
 
 @check("l9_true_positive_example", LONG + """SELECT loan_id, "default", pd FROM x WHERE "default" = 1 AND pd >= 0.4 ORDER BY loan_id LIMIT 1""")
 def l9_tp(spark, d):
-    out = explanation.local_drivers(attributed(spark, d), 3)
+    out = explanation.local_drivers(attributed(spark, d))
     return explanation.example_loan(out, threshold=0.4).select("loan_id", "default", "pd")
 
 
 @check("l10_strongest_drivers", LONG + """SELECT loan_id, CAST(place AS INTEGER) AS place, feature, round(contribution, 9) AS contribution FROM
-  (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY abs(contribution) DESC, feature) AS place FROM long) WHERE place <= 5""")
+  (SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY abs(contribution) DESC, feature) AS place FROM long) WHERE place <= 10""")
 def l10(spark, d):
-    out = explanation.strongest_drivers(attributed(spark, d), 5)
+    out = explanation.strongest_drivers(attributed(spark, d))
     return rounded(out.select("loan_id", "place", "feature", "contribution"), 9, "contribution")
 
 

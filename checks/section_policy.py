@@ -7,16 +7,15 @@ from checks.registry import check
 from creditloom import policy
 from creditloom.operators import cleaning, scoring
 
-_SHOWN = ("loan_amnt", "funded_amnt", "emp_title", "recoveries", "last_pymnt_amnt", "grade",
-          "hardship_flag", "last_fico_range_low", "loan_status")
-_FEATURES = {"loan_amnt", "grade"}
+_SHOWN = frames.ALL_COLUMNS
 _LEAKS = {"recoveries", "last_pymnt_amnt", "hardship_flag", "last_fico_range_low", "loan_status"}
+_FEATURES = {*_SHOWN} - _LEAKS - {"loan_id", "funded_amnt", "fico_range_high", "emp_title"}
 
 
 def _verdicts(chosen: set, word: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {i}::INTEGER AS position, {str(c in chosen).upper()} AS {word}, "
-        f"count({c}) AS filled FROM raw" for i, c in enumerate(_SHOWN))
+        f'count("{c}") AS filled FROM raw' for i, c in enumerate(_SHOWN))
 
 
 def _table(spark, d, chosen, word):

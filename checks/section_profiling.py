@@ -9,6 +9,7 @@ from creditloom.session import fresh_path
 
 P = frames.PREP
 NUM = ("loan_amnt", "int_rate", "annual_inc", "dti", "open_acc", "revol_bal", "fico_range_low", "emp_length")
+WIDE = tuple(frames.NUMERIC)
 TXT = ("grade", "home_ownership", "purpose", "addr_state", "emp_title")
 
 
@@ -19,22 +20,22 @@ def _d(c):
 @check("m1_column_profile", P + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, '{'string' if c in TXT else 'double'}' AS data_type, count({c}) AS non_null, "
     f"round(100.0::DOUBLE * (count(*) - count({c})) / count(*), 6) AS null_pct, count(DISTINCT {c}) AS \"distinct\" FROM prep"
-    for c in (*NUM, *TXT)))
+    for c in (*WIDE, *TXT)))
 def m1(spark, d):
-    return rounded(profiling.column_profile(frames.prepared(spark, d, *NUM, *TXT), [*NUM, *TXT]), 6, "null_pct")
+    return rounded(profiling.column_profile(frames.prepared(spark, d, *WIDE, *TXT), [*WIDE, *TXT]), 6, "null_pct")
 
 
 @check("m1_merged_profile", P + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, count(*) AS \"rows\", count({c}) AS non_null, count(DISTINCT {c}) AS exact, true AS within_error FROM prep"
-    for c in (*NUM, *TXT)))
+    for c in (*WIDE, *TXT)))
 def m1_merged(spark, d):
     """Sketches of each month, written, merged and held against the exact counts: four standard errors at most."""
-    df = frames.prepared(spark, d, "issue_d", *NUM, *TXT)
+    df = frames.prepared(spark, d, "issue_d", *WIDE, *TXT)
     month = F.date_trunc("month", "issue_d").alias("month")
     path = fresh_path(spark, "sketches")
-    profiling.profile_sketches(df.withColumn("month", month), [*NUM, *TXT], ["month"]).write.parquet(path)
+    profiling.profile_sketches(df.withColumn("month", month), [*WIDE, *TXT], ["month"]).write.parquet(path)
     merged = profiling.merged_profile(spark.read.parquet(path))
-    exact = profiling.column_profile(df, [*NUM, *TXT]).select("feature", F.col("distinct").alias("exact"))
+    exact = profiling.column_profile(df, [*WIDE, *TXT]).select("feature", F.col("distinct").alias("exact"))
     close = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col("exact"))
     return merged.join(exact, "feature").select("feature", "rows", "non_null", "exact", close.alias("within_error"))
 
@@ -45,9 +46,9 @@ _Q = {"p1": .01, "p5": .05, "p25": .25, "p50": .5, "p75": .75, "p95": .95, "p99"
 @check("m2_describe", P + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
     f"round(min({c}), 6) AS min, " + ", ".join(f"round(quantile_cont({c}, {q}), 6) AS {n}" for n, q in _Q.items())
-    + f", round(max({c}), 6) AS max FROM prep" for c in NUM))
+    + f", round(max({c}), 6) AS max FROM prep" for c in WIDE))
 def m2(spark, d):
-    return rounded(profiling.describe(frames.prepared(spark, d, *NUM), NUM), 6,
+    return rounded(profiling.describe(frames.prepared(spark, d, *WIDE), WIDE), 6,
                    "mean", "std", "min", "max", *_Q)
 
 
@@ -67,9 +68,9 @@ def m4(spark, d):
 
 @check("m5_missing_table", P + "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(100.0::DOUBLE * (count(*) - count({c})) / count(*), 6) AS missing_pct FROM prep"
-    for c in (*NUM, *TXT)) + ") WHERE missing_pct > 1")
+    for c in (*WIDE, *TXT)) + ") WHERE missing_pct > 1")
 def m5(spark, d):
-    return rounded(profiling.missing_table(frames.prepared(spark, d, *NUM, *TXT), [*NUM, *TXT], 1.0), 6, "missing_pct")
+    return rounded(profiling.missing_table(frames.prepared(spark, d, *WIDE, *TXT), [*WIDE, *TXT], 1.0), 6, "missing_pct")
 
 
 def _hist(c):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import frames, learned
 from checks.registry import check, rounded
+from checks.section_features import LOGS, ORD, RATIO
 from creditloom.operators import contract, features, models, scoring
 from creditloom.session import fresh_path
 from creditloom.streaming.scoring import application_stream, score_stream
@@ -45,39 +46,55 @@ def f1(spark, d):
             .unionByName(rejects.select("loan_id", F.array_join("violations", "; ").alias("reasons"))))
 
 
-@check("f2_fill_defaults", APPS + "SELECT loan_id, coalesce(emp_length, 0) AS emp_length, coalesce(emp_title, '') AS emp_title, "
-       "coalesce(open_acc, 0) AS open_acc, 100.0::DOUBLE AS pct_tl_nvr_dlq, 0.0::DOUBLE AS tax_liens FROM apps")
+_HAVE = {"loan_amnt", "term", "grade", "sub_grade", "purpose", "cr_history_months", *_PLAIN}
+
+
+def _filled(field):
+    default = "NULL" if field.required else f"'{field.default}'" if field.text else f"{field.default}::DOUBLE"
+    value = f"CAST({field.name} AS {'VARCHAR' if field.text else 'DOUBLE'})" if field.name in _HAVE else "NULL"
+    return f"coalesce({value}, {default}) AS {field.name}"
+
+
+_FIELDS = [f for f in contract.CONTRACT if f.name in _HAVE or not f.required]
+
+
+@check("f2_fill_defaults", APPS + f"SELECT loan_id, {', '.join(map(_filled, _FIELDS))} FROM apps")
 def f2(spark, d):
-    return contract.fill_defaults(applications(spark, d)).select(
-        "loan_id", "emp_length", "emp_title", "open_acc", "pct_tl_nvr_dlq", "tax_liens")
+    """Every field of the contract that the applications hold or a default fills."""
+    return contract.fill_defaults(applications(spark, d)).select("loan_id", *[f.name for f in _FIELDS])
 
 
 def _div(a, b):
     return f"coalesce(CASE WHEN ({b}) <> 0 THEN ({a}) / ({b}) END, 0.0::DOUBLE)"
 
 
+_ZERO = {*features.LOG_COLUMNS, *features.RATIO_INPUTS} - {"annual_inc"}
+_FLAGS = {"initial_list_status": "w", "application_type": "Individual", "disbursement_method": "Cash"}
 _SERVED = {
+    **{n: e for n, e in {**ORD, **LOGS, **RATIO}.items() if "annual_inc" not in e},
     "grade_enc": "CAST(CASE WHEN grade BETWEEN 'A' AND 'G' THEN ascii(grade) - 64 ELSE 4 END AS DOUBLE)",
     "sub_grade_enc": "CAST(CASE WHEN regexp_matches(sub_grade, '^[A-G][1-5]$') THEN (ascii(sub_grade) - 65) * 5 + "
                      "CAST(substr(sub_grade, 2, 1) AS INT) ELSE 18 END AS DOUBLE)",
-    "term_60": "CASE WHEN term = 60 THEN 1.0::DOUBLE ELSE 0 END",
-    "int_rate_x_term": "coalesce(int_rate, 0) * coalesce(term, 36)",
-    "loan_to_income": _div("coalesce(loan_amnt, 0)", "coalesce(annual_inc, 1)"),
-    "inq_per_acc": _div("coalesce(inq_last_6mths, 0)", "coalesce(open_acc, 0) + 1"),
-    "revol_bal_log": "ln(1 + greatest(coalesce(revol_bal, 0.0::DOUBLE), 0.0::DOUBLE))",
-    "derog_ratio": _div("coalesce(pub_rec, 0) + coalesce(collections_12_mths_ex_med, 0)", "coalesce(total_acc, 0) + 1"),
+    "loan_to_income": _div("loan_amnt", "coalesce(annual_inc, 1)"),
+    "installment_to_income": _div("installment", "coalesce(annual_inc, 12) / 12"),
+    "annual_inc_log": "coalesce(ln(1 + greatest(annual_inc, 0.0::DOUBLE)), 0)",
 }
+SERVED_SQL = f""", served AS (SELECT apps.* REPLACE ({", ".join(f"coalesce({c}, 0.0::DOUBLE) AS {c}" for c in sorted(_ZERO))},
+  coalesce(term, 36) AS term, {", ".join(f"coalesce({c}, '{v}') AS {c}" for c, v in _FLAGS.items())}) FROM apps)"""
 
 
 @check("f3_serving_features", frames.CLEANED + "," + APPS[len(frames.PREP):].lstrip(" ,") + f""",
 g AS (SELECT avg("default") AS g FROM cleaned WHERE is_fit),
 pr AS (SELECT purpose AS pk, (coalesce(sum("default") FILTER (is_fit), 0) + 300 * any_value(g)) / (count(*) FILTER (is_fit) + 300) AS pv
-       FROM cleaned CROSS JOIN g GROUP BY 1)
+       FROM cleaned CROSS JOIN g GROUP BY 1),
+sr AS (SELECT addr_state AS sk, (coalesce(sum("default") FILTER (is_fit), 0) + 500 * any_value(g)) / (count(*) FILTER (is_fit) + 500) AS sv
+       FROM cleaned CROSS JOIN g GROUP BY 1){SERVED_SQL}
 SELECT loan_id, {', '.join(f'round(CAST(CAST({e} AS FLOAT) AS DOUBLE), 4) AS {n}' for n, e in _SERVED.items())},
-  round(CAST(CAST(coalesce(pv, g) AS FLOAT) AS DOUBLE), 4) AS purpose_rate_enc
-FROM apps CROSS JOIN g LEFT JOIN pr ON purpose = pk""")
+  round(CAST(CAST(coalesce(pv, g) AS FLOAT) AS DOUBLE), 4) AS purpose_rate_enc,
+  round(CAST(CAST(coalesce(sv, g) AS FLOAT) AS DOUBLE), 4) AS state_default_rate
+FROM served CROSS JOIN g LEFT JOIN pr ON purpose = pk LEFT JOIN sr ON addr_state = sk""")
 def f3(spark, d):
-    names = [*_SERVED, "purpose_rate_enc"]
+    names = [*_SERVED, "purpose_rate_enc", "state_default_rate"]
     out = features.build_features(applications(spark, d), learned.encodings(spark, d), serving=True)
     return rounded(out.select("loan_id", *names), 4, *names)
 

@@ -151,8 +151,15 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_small_csv(df: DataFrame, path: str) -> None:
-    """A report of a few rows as one CSV part with header."""
+REPORT_ROWS = 100_000
+
+
+def write_small_csv(df: DataFrame, path: str, most: int = REPORT_ROWS) -> None:
+    """A report of a few rows as one CSV part with header (A6); a table that is no report is refused."""
+    df = materialise(df, "report")
+    rows = df.count()
+    if rows > most:
+        raise ValueError(f"{rows:,} rows are no report of at most {most:,}; write_csv takes tables of any size")
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 

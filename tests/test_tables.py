@@ -57,3 +57,10 @@ def test_plain_text_is_read_in_pieces_unless_asked(spark, tmp_path):
     path = _file(tmp_path, "plain", 'id,grade\n1,A\n2,B\n')
     assert not tables._has_gzip(spark, path) and tables.read_raw(spark, path).rows.count() == 2
     assert tables._has_gzip(spark, _file(tmp_path, "packed", "id\n1\n", packed=True))
+
+
+def test_reports_stay_small(spark, tmp_path):
+    import pytest
+    tables.write_small_csv(spark.range(5), str(tmp_path / "report"), most=5)
+    with pytest.raises(ValueError, match="no report"):
+        tables.write_small_csv(spark.range(6), str(tmp_path / "report"), most=5)
