@@ -41,9 +41,9 @@ LOCAL_LEAST = 3
 PART_SHINGLES = 4
 #: Frequent tokens are spread over so many buckets, each with its own leader.
 SALTS = 8
-#: Rows of a key table (16 bytes each) up to which it is broadcast; several are at a time, 30 MB on the driver in all.
-#: What is wider is left to Spark, which knows the size of each written table.
-BROADCAST_ROWS = 200_000
+#: Rows of a key table (16 bytes each) up to which it is broadcast; what is wider is left to Spark, which knows the size of
+#: each written table.
+BROADCAST_ROWS = 1_000_000
 _EMITTED = 100_000
 
 
@@ -197,13 +197,13 @@ def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     return near.unionByName(between).distinct()
 
 
-def _open_rows(buckets: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows, with their component, of tokens whose classes are in several."""
-    rows = (buckets.select("token", "sid", "n", "pos", "loose").join(_small(groups), F.col("sid") == F.col("node"), "left")
+def _open_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows, with their component, of tokens whose classes are in several; components grow, so these only get fewer."""
+    rows = (rows.select("token", "sid", "n", "pos", "loose").join(_small(groups), F.col("sid") == F.col("node"), "left")
             .select("token", "sid", "n", "pos", "loose", F.coalesce("component", "sid").alias("grp")))
     mixed = (rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
              .where("low <> high").select("token"))
-    return materialise(rows.join(materialise(mixed, "mixed"), "token"), "open")
+    return materialise(rows.join(_small(materialise(mixed, "mixed")), "token"), "open")
 
 
 def _centre_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
@@ -300,10 +300,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
 def _linked(buckets: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(node, component) of all classes that have a link."""
     links = _verified(_star_pairs(buckets, percent), classes, docs, percent)
-    tried = None
+    open_rows, tried = buckets, None
     while True:
         groups = materialise(connected_components(links), "groups")
-        open_rows = _open_rows(buckets, groups)
+        open_rows = _open_rows(open_rows, groups)
         pairs = materialise(_centre_pairs(open_rows, percent), "centre-pairs")
         fresh = pairs if tried is None else materialise(pairs.join(tried, ["a", "b"], "left_anti"), "fresh-pairs")
         found = _verified(fresh, classes, docs, percent) if not fresh.isEmpty() else None
