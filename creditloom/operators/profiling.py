@@ -23,7 +23,7 @@ KDE_POINTS = 1000
 SKETCH_PRECISION = 12
 KDE_FACTOR = 0.3
 KDE_NODES = 64          # nodes to a kernel width
-KDE_MOST = 1 << 18      # nodes of a column and class, whatever its range
+KDE_MOST = 1 << 18      # values or nodes of a column and class that are evaluated
 
 
 def _long(df: DataFrame, columns: Sequence[str], value, keep: Sequence[str] = ()) -> DataFrame:
@@ -240,34 +240,42 @@ def rate_by_bin(df: DataFrame, column: str, n_bins: int = 20, label: str = polic
                     "default_rate", "rows"))
 
 
-def _node_weights(df: DataFrame, series: list, grids: dict, label: str) -> DataFrame:
-    """(series, node, weight): every value's weight shared between the two grid nodes around it, in one scan."""
+def _weights(df: DataFrame, series: list, grids: dict, label: str) -> DataFrame:
+    """(series, at, weight), one scan: each different value with its rows, or, where these are too many, grid nodes with
+    every value's weight shared between the two around it."""
     y = F.col(label)
     places = F.array(*[F.struct(F.lit(float(grids[i][0] if i in grids else 0)).alias("low"),
-                                F.lit(float(grids[i][2] if i in grids else 1)).alias("gap"),
+                                F.lit(float(grids[i][2] if i in grids else 0)).alias("gap"),
                                 F.lit(i in grids).alias("used")) for i in range(len(series))])
     columns = list(dict.fromkeys(c for c, _ in series))
     cells = df.where(y.isin(0, 1)).select(F.inline(F.array(*[
         F.struct((F.lit(2 * k) + y.cast("int")).alias("series"), F.col(c).cast("double").alias("value"))
         for k, c in enumerate(columns)]))).where("value is not null")
     at = F.element_at(places, F.col("series") + 1)
-    placed = cells.where(at["used"]).select("series", ((F.col("value") - at["low"]) / at["gap"]).alias("place"))
-    node = F.floor("place").alias("node")
-    binned = (placed.select("series", node, (F.col("place") - F.floor("place")).alias("part"))
-              .groupBy("series", "node").agg(F.count(F.lit(1)).alias("n"), F.sum("part").alias("part")))
-    both = F.array(F.struct(F.col("node"), (F.col("n") - F.col("part")).alias("weight")),
-                   F.struct((F.col("node") + 1).alias("node"), F.col("part").alias("weight")))
-    return binned.select("series", F.inline(both)).groupBy("series", "node").agg(F.sum("weight").alias("weight"))
+    placed = cells.where(at["used"]).select("series", "value", F.try_divide(F.col("value") - at["low"], at["gap"]).alias("place"))
+    node = F.floor("place")
+    binned = (placed.select("series", node.alias("node"), (F.col("place") - node).alias("part"),
+                            F.when(F.col("place").isNull(), F.col("value")).alias("value"))
+              .groupBy("series", "node", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("part").alias("part")))
 
+    def entry(place, weight):
+        return F.struct(place.alias("at"), weight.cast("double").alias("weight"))
+    both = F.when(F.col("node").isNull(), F.array(entry(F.col("value"), F.col("n")))).otherwise(F.array(
+        entry(at["low"] + at["gap"] * F.col("node"), F.col("n") - F.col("part")),
+        entry(at["low"] + at["gap"] * (F.col("node") + 1), F.col("part"))))
+    return binned.select("series", F.inline(both)).groupBy("series", "at").agg(F.sum("weight").alias("weight"))
 
-def density_by_class(df: DataFrame, columns: Sequence[str], label: str = policy.TARGET,
-                     points: int = KDE_POINTS, factor: float = KDE_FACTOR, nodes: int = KDE_NODES) -> DataFrame:
-    """Gaussian kernel density per column and class on a fixed grid (M12), from linearly binned values.
 
-    Each value's weight is shared between the two nodes around it, ``nodes`` to a kernel width, in one aggregation on the
-    JVM. What is evaluated against the grid are the occupied nodes of a column and class, KDE_MOST at most, however many
-    rows there are. ``error_bound`` is the largest distance from the direct sum over all values: with nodes d apart and
-    width h the kernel between two nodes is off by d * d / 8 times its largest second derivative at most.
+def density_by_class(df: DataFrame, columns: Sequence[str], label: str = policy.TARGET,
+                     points: int = KDE_POINTS, factor: float = KDE_FACTOR, nodes: int = KDE_NODES,
+                     most: int = KDE_MOST) -> DataFrame:
+    """Gaussian kernel density per column and class on a fixed grid.
+
+    One aggregation on the JVM counts the different values of a column and class. Where there are more than ``most`` of
+    them (by a sketch), it bins them linearly instead: each value's weight is shared between the two nodes around it,
+    ``nodes`` to a kernel width, KDE_MOST at most. Only these are evaluated against the grid, however many rows there are.
+    ``error_bound`` is the largest distance from the direct sum: 0, or for nodes d apart and width h what d * d / 8 times
+    the kernel's largest second derivative makes.
     """
     y = F.col(label)
     series = [(c, v) for c in columns for v in (0, 1)]
@@ -275,15 +283,15 @@ def density_by_class(df: DataFrame, columns: Sequence[str], label: str = policy.
     for i, (c, v) in enumerate(series):
         x = F.when(y == v, F.col(c).cast("double"))
         aggs += [F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.count(x).alias(f"n{i}")]
+                 F.count(x).alias(f"n{i}"), F.approx_count_distinct(x).alias(f"d{i}")]
     row = df.agg(*aggs).first()
-    grids: dict[int, tuple[float, float, float]] = {}    # lowest value, kernel width, gap between nodes
+    grids: dict[int, tuple[float, float, float]] = {}    # lowest value, kernel width, gap between nodes or 0
     facts = []
     for i, (c, v) in enumerate(series):
         width = factor * row[f"s{i}"] if row[f"n{i}"] > 1 else 0.0
         if width:
             low, high = row[f"lo{i}"], row[f"hi{i}"]
-            gap = max(width / nodes, (high - low) / KDE_MOST)
+            gap = max(width / nodes, (high - low) / KDE_MOST) if row[f"d{i}"] > most else 0.0
             grids[i] = (low, width, gap)
             start, end = low - 0.5 * (high - low), high + 0.5 * (high - low)
             facts += [F.lit(i), F.struct(
@@ -297,10 +305,10 @@ def density_by_class(df: DataFrame, columns: Sequence[str], label: str = policy.
 
     def on_grid(frame: pd.DataFrame) -> pd.DataFrame:
         i = int(frame["series"].iloc[0])
-        low, width, gap = grids[i]
+        low, width, _ = grids[i]
         reach = row_range[i]
         grid = np.linspace(low - 0.5 * reach, low + 1.5 * reach, points)
-        place, weight = low + gap * frame["node"].to_numpy(dtype=float), frame["weight"].to_numpy()
+        place, weight = frame["at"].to_numpy(), frame["weight"].to_numpy()
         total = np.zeros(points)
         for first in range(0, len(place), 1000):
             z = (grid[None, :] - place[first:first + 1000, None]) / width
@@ -308,7 +316,7 @@ def density_by_class(df: DataFrame, columns: Sequence[str], label: str = policy.
         return pd.DataFrame({"series": i, "point": np.arange(points), "total": total})
 
     row_range = {i: row[f"hi{i}"] - row[f"lo{i}"] for i in grids}
-    sums = _node_weights(df, series, grids, label).groupBy("series").applyInPandas(
+    sums = _weights(df, series, grids, label).groupBy("series").applyInPandas(
         on_grid, "series int, point int, total double")
     fact = F.element_at(F.create_map(*facts), F.col("series"))
     return sums.select(fact["feature"].alias("feature"), fact["label"].alias(label), "point",
