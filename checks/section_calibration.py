@@ -6,7 +6,7 @@ from pyspark.sql.window import Window
 
 from checks import frames, learned
 from checks.registry import check
-from checks.section_models import _LONG, _PROBABILITY, _kept, _promise, _scored, auc_by_ranks, compared, gradient
+from checks.section_models import _LONG, _kept, _probability, _promise, _scored, auc_by_ranks, compared, gradient
 from creditloom.operators import calibration, metrics, scoring
 
 
@@ -20,7 +20,7 @@ def j1(spark, d):
     both = scoring.predict(scoring.predict(features.filter("split = 'test'"), base, "raw"), model, keep=["raw"])
     steps = both.distinct().select("raw", "pd", F.lag("pd").over(Window.orderBy("raw")).alias("before"))
     return _kept(scored, converged=gradient(validation, model, 1.0 / validation.count(), None) < 1e-4,
-                 order_is_kept=steps.filter("pd < before").isEmpty(), probabilities=_PROBABILITY)
+                 order_is_kept=steps.filter("pd < before").isEmpty(), probabilities=_probability())
 
 
 @check("j2_isotonic", frames.PREP + "SELECT split, count(*) AS loans, CAST(0 AS BIGINT) AS outside, true AS mean_is_base_rate "

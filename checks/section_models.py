@@ -41,7 +41,8 @@ def _scored(spark, d, model):
     return scoring.predict(learned.features(spark, d).filter("split = 'test'"), model, keep=["loan_id", "default", "split"])
 
 
-_PROBABILITY = F.coalesce(F.bool_and(F.col("pd").between(0, 1) & ~F.isnan("pd")), F.lit(False))
+def _probability():
+    return F.coalesce(F.bool_and(F.col("pd").between(0, 1) & ~F.isnan("pd")), F.lit(False))
 
 
 def gradient(rows, model, penalty, weight="class_weight"):
@@ -80,7 +81,7 @@ def _auc_facts(scored):
 def g2(spark, d):
     model = learned.logistic(spark, d)
     rows, penalty = _weighted(learned.train_rows(spark, d))
-    return _kept(_scored(spark, d, model), converged=gradient(rows, model, penalty) < 1e-4, probabilities=_PROBABILITY)
+    return _kept(_scored(spark, d, model), converged=gradient(rows, model, penalty) < 1e-4, probabilities=_probability())
 
 
 @check("g3_two_feature_baseline", _promise("converged", "uplift_is_the_difference", "figures_are_those_of_its_scores"))
