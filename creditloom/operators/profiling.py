@@ -16,6 +16,7 @@ from creditloom.functions import bins
 from creditloom.operators.comoments import correlation_table
 from creditloom.operators.features import correlation_with_target
 from creditloom.operators.quantiles import exact_quantiles
+from creditloom.session import materialise
 
 # What the numeric summary reports.
 SUMMARY_QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
@@ -117,14 +118,17 @@ def missing_table(df: DataFrame, columns: Sequence[str] | None = None, above: fl
 
 def describe(df: DataFrame, columns: Sequence[str],
              quantiles: Sequence[float] = SUMMARY_QUANTILES) -> DataFrame:
-    """Count, mean, sample deviation, range and exact quantiles (M2)."""
+    """Count, mean, sample deviation, range and exact quantiles (M2).
+
+    The columns are written once: the scans that follow read them, not the source behind them.
+    """
+    df = materialise(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "described")
     x = F.col("value")
     moments = {r["feature"]: r for r in
                _long(df, columns, lambda c: F.col(c).cast("double")).groupBy("feature")
                .agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                     F.min(x).alias("low"), F.max(x).alias("high")).collect()}
-    found = exact_quantiles(df.select(*[F.col(c).cast("double").alias(c) for c in columns]),
-                            {c: quantiles for c in columns},
+    found = exact_quantiles(df, {c: quantiles for c in columns},
                             {c: moments[c]["n"] if c in moments else 0 for c in columns})
     names = [f"p{round(q * 100)}" for q in quantiles]
     rows = [(c, m["n"], m["mean"], m["std"], m["low"],
