@@ -98,11 +98,15 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool | None = None) ->
 
 def read_raw_csv(spark: SparkSession, path: str, partitions: int | None = None, multi_line: bool | None = None,
                  rejects_path: str | None = None) -> DataFrame:
-    """The loans of ``read_raw``, dealt out over ``partitions``; its rejects are appended to ``rejects_path``."""
+    """The loans of ``read_raw``, dealt out over ``partitions`` at least; its rejects are appended to ``rejects_path``.
+
+    A stored copy that is already read in as many pieces stays as it is: its pieces are bounded in size, shares aren't.
+    """
     read = read_raw(spark, path, multi_line)
     if rejects_path:
         read.rejects.write.mode("append").parquet(rejects_path)
-    return read.rows.repartition(partitions) if partitions else read.rows
+    few = partitions and read.rows.rdd.getNumPartitions() < partitions
+    return read.rows.repartition(partitions) if few else read.rows
 
 
 def spread(scan: DataFrame) -> DataFrame:

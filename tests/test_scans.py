@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.operators import contract, profiling, quantiles
+from creditloom.session import fresh_path
+from creditloom.sources import tables
 
 
 def counted_source(spark, rows):
@@ -52,3 +54,19 @@ def test_bracket_counts_are_few_values_a_task(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("a"))
     [(counts, bounds)] = quantiles._counts_between(df, [(F.col("a"), {10.0, 20.0, 500.5})])
     assert bounds.tolist() == [10.0, 20.0, 500.5] and counts.tolist() == [10, 1, 9, 1, 480, 0, 499]
+
+
+def test_csv_copy_in_many_pieces_is_not_dealt_out_again(spark):
+    path = fresh_path(spark, "csv")
+    tables.write_csv(spark.range(2000).repartition(6).select(F.col("id").alias("loan_id"), F.md5(F.col("id").cast("string")).alias("desc")), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "4096")
+        many = tables.read_raw_csv(spark, path, partitions=4)
+        assert many.rdd.getNumPartitions() > 4 and many.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    few = tables.read_raw_csv(spark, path, partitions=40)
+    assert few.rdd.getNumPartitions() == 40 and few.count() == 2000
