@@ -198,12 +198,30 @@ def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_rows(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows, with their component, of tokens whose classes are in several; components grow, so these only get fewer."""
+    """The rows, with their component, of tokens whose classes are in several."""
     rows = (rows.select("token", "sid", "n", "pos", "loose").join(_small(groups), F.col("sid") == F.col("node"), "left")
             .select("token", "sid", "n", "pos", "loose", F.coalesce("component", "sid").alias("grp")))
-    mixed = (rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
-             .where("low <> high").select("token"))
-    return materialise(rows.join(_small(materialise(mixed, "mixed")), "token"), "open")
+    return materialise(rows.join(_small(materialise(_mixed(rows), "mixed")), "token"), "open")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    return (rows.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
+            .where("low <> high").select("token"))
+
+
+def _still_open(open_rows: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The open rows after components grew, and those of them whose token holds a class that changed its component.
+
+    A component is named by its smallest class, so a token without such a change has the centre and the pairs it had before.
+    """
+    now = materialise(open_rows.withColumnRenamed("grp", "was").join(_small(groups), F.col("sid") == F.col("node"), "left")
+                      .select("token", "sid", "n", "pos", "loose", "was", F.coalesce("component", "sid").alias("grp")), "regrouped")
+    moved = materialise(now.where("grp <> was").select("token").distinct(), "moved")
+    now = now.drop("was")
+    changed = now.join(_small(moved), "token")
+    still = materialise(_mixed(changed), "mixed")
+    shut = materialise(moved.join(still, "token", "left_anti"), "shut")
+    return now.join(_small(shut), "token", "left_anti"), materialise(changed.join(_small(still), "token"), "changed")
 
 
 def _centre_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
@@ -300,17 +318,19 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
 def _linked(buckets: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(node, component) of all classes that have a link."""
     links = _verified(_star_pairs(buckets, percent), classes, docs, percent)
-    open_rows, tried = buckets, None
+    groups = materialise(connected_components(links), "groups")
+    open_rows = changed = _open_rows(buckets, groups)
+    tried = None
     while True:
-        groups = materialise(connected_components(links), "groups")
-        open_rows = _open_rows(open_rows, groups)
-        pairs = materialise(_centre_pairs(open_rows, percent), "centre-pairs")
+        pairs = materialise(_centre_pairs(changed, percent), "centre-pairs")
         fresh = pairs if tried is None else materialise(pairs.join(tried, ["a", "b"], "left_anti"), "fresh-pairs")
         found = _verified(fresh, classes, docs, percent) if not fresh.isEmpty() else None
         if found is None or found.isEmpty():
             break
         links = links.unionByName(found)
         tried = pairs if tried is None else tried.unionByName(fresh)
+        groups = materialise(connected_components(links), "groups")
+        open_rows, changed = _still_open(open_rows, groups)
     cross = _verified(_cross_pairs(open_rows, percent), classes, docs, percent)
     return groups if cross.isEmpty() else materialise(connected_components(links.unionByName(cross)), "groups")
 

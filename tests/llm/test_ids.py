@@ -76,3 +76,20 @@ def test_pairs_grow_in_proportion_to_a_group(spark, monkeypatch):
         groups = jaccard.similar_groups(near_copies(spark, n))
         assert groups.agg(F.count_distinct("component_id")).first()[0] == 1
         assert made["pairs"] <= 1.5 * n
+
+
+def test_later_rounds_leave_unchanged_tokens_alone(spark, monkeypatch):
+    """Pairs of texts just too far apart share tokens for good; only the first centre round looks at them."""
+    pairs = [(10_000 + 2 * i + j, " ".join([f"p{i}q{k}" for k in range(27)] + [f"p{i}r{j}s{k}" for k in range(3)]))
+             for i in range(20) for j in range(2)]
+    docs = near_copies(spark, 400).unionByName(table(spark, pairs))
+    looked, plain = [], jaccard._centre_pairs
+
+    def counted(rows, *rest):
+        looked.append(rows.where("n = 26").count())
+        return plain(rows, *rest)
+    monkeypatch.setattr(jaccard, "_centre_pairs", counted)
+    groups = jaccard.similar_groups(docs).select("doc_id", "component_id").collect()
+    assert len(looked) > 1 and looked[0] >= 40 and not any(looked[1:])
+    assert {r.component_id for r in groups if r.doc_id < 10_000} == {0}
+    assert all(r.component_id == r.doc_id for r in groups if r.doc_id >= 10_000)
