@@ -32,8 +32,8 @@ def prepared(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    """Cleaned loans; the raw table is joined together and stored once beforehand."""
-    return cleaning.clean(materialise(loan_view(spark, folder), "raw"), REFERENCE_DATE)
+    """Cleaned loans; what cleaning uses of the raw table is joined together and stored once beforehand."""
+    return cleaning.clean(materialise(cleaning.keep_usable(loan_view(spark, folder)), "raw"), REFERENCE_DATE)
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:

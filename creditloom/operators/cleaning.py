@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from creditloom import policy
 from creditloom.functions import numeric, parse
-from creditloom.operators.quantiles import counts_and_brackets, settled_quantiles
+from creditloom.operators.quantiles import exact_quantiles
 from creditloom.session import materialise
 
 # Labelled loan statuses and their target value.
@@ -87,6 +87,11 @@ def drop_unusable(df: DataFrame) -> DataFrame:
     return df.drop(*columns_to_drop(df.columns))
 
 
+def keep_usable(raw: DataFrame) -> DataFrame:
+    """The raw rows and columns that cleaning goes on with, as raw as they are: what is worth storing before it."""
+    return keep_labelled(raw).drop(*[c for c in columns_to_drop(raw.columns) if c != "loan_status"])
+
+
 def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
@@ -138,11 +143,11 @@ def fit_cleaning(parsed: DataFrame, fit_rows: Column | None = None) -> CleaningF
     rows_used = parsed if fit_rows is None else parsed.filter(fit_rows)
     names = numeric_columns(parsed)
     possible = {c: [0.5] + ([CAP_QUANTILE] if CLIP_BOUNDS.get(c, (0, 0))[1] is None else []) for c in names}
-    one = rows_used.withColumn("_one", F.lit(1.0))
-    counts, brackets = counts_and_brackets(one, {**possible, "_one": [0.5]})
-    # Only what has gaps needs a median.
-    wanted = {c: [q for q in qs if q != 0.5 or counts[c] < counts["_one"]] for c, qs in possible.items()}
-    found = settled_quantiles(rows_used, {c: qs for c, qs in wanted.items() if qs}, counts, brackets)
+    counted = rows_used.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(names)]).first()
+    counts = {c: counted[f"n{i}"] for i, c in enumerate(names)}
+    # Only what has gaps needs a median; a sketch of every column costs far more than this scan.
+    wanted = {c: [q for q in qs if q != 0.5 or counts[c] < counted["rows"]] for c, qs in possible.items()}
+    found = exact_quantiles(rows_used, {c: qs for c, qs in wanted.items() if qs}, counts)
     caps = {c: q[CAP_QUANTILE].value for c, q in found.items() if CAP_QUANTILE in q}
     medians = {}
     for c, q in found.items():

@@ -110,3 +110,29 @@ def test_exact_quantiles(spark, finish, kind):
 def test_empty_column_has_no_quantile(spark):
     df = spark.createDataFrame([(None,)], "c double")
     assert quantiles.exact_quantiles(df, {"c": [0.5]}) == {}
+
+
+def test_only_columns_with_gaps_are_sketched(spark, monkeypatch):
+    """Whole columns need no median, so no sketch of them is made; the fit is that of a search in few rows."""
+    df = spark.range(3_000).select(
+        F.col("id").alias("loan_id"), F.col("id").cast("double").alias("annual_inc"),
+        F.when(F.col("id") % 3 > 0, F.col("id").cast("double")).alias("dti"), *[F.col("id").cast("double").alias(f"x{i}") for i in range(5)])
+    expected = cleaning.fit_cleaning(df)
+    sketched, plain = [], F.percentile_approx
+
+    def counted(*args):
+        sketched.append(str(args[0]))
+        return plain(*args)
+    monkeypatch.setattr(F, "percentile_approx", counted)
+    monkeypatch.setattr(quantiles.exact_quantiles, "__defaults__", (None, 10))
+    assert cleaning.fit_cleaning(df) == expected
+    assert set(expected.medians) == {"dti"} and set(expected.caps) == {"annual_inc"}
+    assert sketched and not any(f"x{i}" in s for s in sketched for i in range(5))
+
+
+def test_only_usable_cells_are_stored_before_cleaning(spark):
+    raw = spark.createDataFrame([(1, "Fully Paid", "L1", "other", 5.0, 7.0), (2, "Current", "L2", None, 6.0, 7.0), (3, None, "L3", None, 6.0, 7.0)],
+                                "loan_id long, loan_status string, id string, desc string, loan_amnt double, recoveries double")
+    kept = cleaning.keep_usable(raw)
+    assert kept.columns == ["loan_id", "loan_status", "loan_amnt"] and [r.loan_id for r in kept.collect()] == [1]
+    assert cleaning.clean(kept).collect() == cleaning.clean(raw).collect()
