@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once; bounds the working memory to about 40 bytes per byte of this.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WIDTH_SALT = 0xD1B54A32D192ED03
 _STEPS = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

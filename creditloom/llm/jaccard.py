@@ -262,6 +262,7 @@ def _suffix_filter(percent: int):
 
 def _sets(batches):
     """(sid, other, items) of texts whose set is the class ``sid``."""
+    release()
     for batch in batches:
         sids, others, found = [], [], []
         wanted, beside = batch.column(1).to_pylist(), batch.column(2).to_pylist()

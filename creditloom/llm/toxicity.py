@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from creditloom.llm.memo import per_process, slices, small_batches
+from creditloom.llm.memo import per_process, release, slices, small_batches
 from creditloom.llm.sampling import crc32_fold, sampled
 from creditloom.session import materialise
 
@@ -67,6 +67,7 @@ def _count_entries(batches):
             [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
              pa.array([uses[k] for k in keys], pa.int64()), pa.array([texts[k] for k in keys], pa.int64())],
             ["label", "entry", "uses", "texts"])
+    release()
     uses, texts = Counter(), Counter()
     for batch in slices(batches):
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -153,6 +154,7 @@ def text_evidence(words: list[str], evidence) -> float:
 
 def _count_cells(shared):
     def run(batches):
+        release()
         coder = _Coder(*shared.value)
         found: Counter = Counter()
         known: dict[str, tuple[int, int]] = {}
@@ -173,6 +175,7 @@ def _count_cells(shared):
 
 def _weigh(shared):
     def run(batches):
+        release()
         toxic, ordinary, weights = shared.value
         evidence = _Evidence(_Coder(toxic, ordinary), weights).__getitem__
         for batch in slices(batches):
