@@ -146,6 +146,26 @@ def test_halving_is_repeatable_and_refuses_other_models(spark, table):
         models.halving_search(table, cols, 2, kind="random_forest")
 
 
+def test_trials_side_by_side_fit_into_memory(spark, table, monkeypatch):
+    assert [models.fits_at_once(10 << 30, rows, 54, 4) for rows in (10, 5_000_000, 10_000_000, 30_000_000, 10**10)] == [4, 4, 2, 1, 1]
+    assert models.fits_at_once(0, 0, 3, 4) == 1 and models.storage_bytes(spark) > 100 << 20
+    running, most, fit = set(), [], models.GBTClassifier.fit
+
+    def counted(self, rows):
+        running.add(id(self))
+        most.append(len(running))
+        try:
+            return fit(self, rows)
+        finally:
+            running.discard(id(self))
+
+    monkeypatch.setattr(models, "storage_bytes", lambda spark: 1)
+    monkeypatch.setattr(models.GBTClassifier, "fit", counted)
+    space = {"depth": (2, 3, False)}
+    trials = models.halving_search(table, ["int_rate", "fico_range_low", "dti"], 3, (1,), space=space, side_by_side=3)
+    assert trials.count() == 3 and most == [1, 1, 1]
+
+
 def test_threshold_report_of_a_stored_model(spark, folder, table):
     from creditloom.plans import jobs
     path, model = fresh_path(spark, "model"), learned.logistic(spark, folder)
