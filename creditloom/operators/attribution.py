@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from creditloom import policy
 from creditloom.session import fresh_path, materialise
 
 MAX_NODES = 5_000_000    # of a group of trees
+VALUES, CONTRIBUTIONS = "_values", "_contributions"
 
 
 def linear_contributions(df: DataFrame, weights: dict[str, float], means: dict[str, float],
@@ -73,14 +74,17 @@ def ensemble_groups(pipeline: PipelineModel, spark, most: int = MAX_NODES) -> It
         first = last
 
 
-def _walker(shared, key: str):
+def _matrix(lists: pa.ListArray, width: int) -> np.ndarray:
+    """Lists of one length as the rows of a matrix, in one piece of memory."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), width)
+
+
+def _walker(shared, width: int):
     """Adds the contributions of one group of trees to those of the groups before."""
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            x = np.stack(batch["values"].to_numpy())
-            total = np.stack(batch["contributions"].to_numpy()).copy()
+            key, values, before = batch.columns
+            x, total = _matrix(values, width), _matrix(before, width).copy()
             rows = np.arange(len(x))
             for weight, value, left, right, feature, cut in shared.value:
                 at = np.zeros(len(x), dtype=int)
@@ -89,34 +93,47 @@ def _walker(shared, key: str):
                     here = at[active]
                     split = feature[here]
                     child = np.where(x[active, split] <= cut[here], left[here], right[here])
-                    np.add.at(total, (active, split), weight * (value[child] - value[here]))
+                    total[active, split] += weight * (value[child] - value[here])  # a row is active once
                     at[active] = child
                     active = active[left[child] >= 0]
-            yield pd.DataFrame({key: batch[key], "values": list(x), "contributions": list(total)})
+            after = pa.ListArray.from_arrays(np.arange(0, total.size + 1, width, dtype=np.int32), total.ravel())
+            yield pa.RecordBatch.from_arrays([key, values, after], names=batch.schema.names)
     return walk
 
 
-def tree_contributions(df: DataFrame, pipeline: PipelineModel, features: Sequence[str],
+def path_contributions(df: DataFrame, pipeline: PipelineModel, features: Sequence[str],
                        key: str = policy.KEY, most: int = MAX_NODES) -> tuple[DataFrame, float]:
-    """Path contributions of a tree ensemble (L2) and the base value.
+    """Key, values and path contributions of a tree ensemble (L2), in the order of ``features``; and the base value.
 
     Walking from root to leaf, the change of the expected value at each split is
     credited to the split's feature (Saabas 2014). Base value plus contributions
     is the raw margin (boosting) or the mean class share (forest). An ensemble of
     any size is walked in groups of ``most`` nodes, each broadcast on its own;
     between groups the contributions so far are written, so neither driver nor
-    worker ever holds more than one group.
+    worker ever holds more than one group. ``with_drivers`` names the entries; as
+    plain numbers they are a quarter as large, so joins come before that.
     """
     names, spark = list(features), df.sparkSession
     # Parquet and Spark ML compare doubles, so features enter as doubles.
-    state = df.select(key, F.array(*[F.col(c).cast("double") for c in names]).alias("values"),
-                      F.array_repeat(F.lit(0.0), len(names)).alias("contributions"))
+    state = df.select(key, F.array(*[F.col(c).cast("double") for c in names]).alias(VALUES),
+                      F.array_repeat(F.lit(0.0), len(names)).alias(CONTRIBUTIONS))
     base = 0.0
     for number, trees in enumerate(ensemble_groups(pipeline, spark, most)):
         base += float(sum(weight * value[0] for weight, value, *_ in trees))
         state = state if not number else materialise(state, "contributions")
-        state = state.mapInPandas(_walker(spark.sparkContext.broadcast(trees), key),
-                                  f"{key} {dict(df.dtypes)[key]}, values array<double>, contributions array<double>")
-    drivers = F.transform(F.array(*[F.lit(c) for c in names]), lambda f, i: F.struct(
-        f.alias("feature"), F.get("values", i).alias("value"), F.get("contributions", i).alias("contribution")))
-    return state.select(key, drivers.alias("drivers")), base
+        state = state.mapInArrow(_walker(spark.sparkContext.broadcast(trees), len(names)), state.schema)
+    return state, base
+
+
+def with_drivers(state: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Values and contributions as one array of (feature, value, contribution); other columns stay."""
+    drivers = F.transform(F.array(*[F.lit(c) for c in features]), lambda f, i: F.struct(
+        f.alias("feature"), F.get(VALUES, i).alias("value"), F.get(CONTRIBUTIONS, i).alias("contribution")))
+    return state.select(*[c for c in state.columns if c not in (VALUES, CONTRIBUTIONS)], drivers.alias("drivers"))
+
+
+def tree_contributions(df: DataFrame, pipeline: PipelineModel, features: Sequence[str],
+                       key: str = policy.KEY, most: int = MAX_NODES) -> tuple[DataFrame, float]:
+    """``path_contributions`` with the drivers named."""
+    state, base = path_contributions(df, pipeline, features, key, most)
+    return with_drivers(state, features), base
