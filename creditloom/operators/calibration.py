@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from creditloom import policy
 from creditloom.operators import isotonic, metrics
 from creditloom.operators.scoring import ScoringModel
+from creditloom.session import materialise
 
 METHODS = ("sigmoid", "isotonic")
 RAW = "raw_pd"
@@ -34,6 +35,7 @@ def calibrate(model: ScoringModel, validation: DataFrame, method: str = "sigmoid
     pick = VectorSlicer(inputCol=model.probability, outputCol=RAW, indices=[1])
     raw = pick.transform(model.pipeline.transform(validation.select(*model.features, label))).select(RAW, label)
     if method == "sigmoid":
+        raw = materialise(raw, "raw")  # the fit reads it three times
         rows = raw.count()
         stage = LogisticRegression(featuresCol=RAW, labelCol=label, regParam=1.0 / rows, elasticNetParam=0.0,
                                    standardization=False, maxIter=1000, tol=1e-9, probabilityCol=CALIBRATED,
