@@ -6,6 +6,7 @@ from creditloom.operators import models
 
 def test_comparison_is_given_the_whole_plan(spark, folder, monkeypatch):
     plans = []
+    learned.features(spark, folder)
     monkeypatch.setattr(learned, "_KEPT", {k: v for k, v in learned._KEPT.items() if k[2] != "comparison"})
     monkeypatch.setattr(learned.jobs, "compare", lambda features, columns, plan=None: plans.append(plan))
     learned.comparison(spark, folder)
@@ -15,6 +16,7 @@ def test_comparison_is_given_the_whole_plan(spark, folder, monkeypatch):
 def test_summary_is_of_models_of_planned_size(spark, folder, monkeypatch):
     from checks.section_models import g11_summary
     trained, train = [], models.train
+    learned.features(spark, folder)
 
     def small(rows, kind, columns, **settings):
         """Notes what is asked for, and fits something quick instead."""
