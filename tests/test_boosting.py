@@ -110,3 +110,16 @@ def test_cuts_lie_between_values_at_equal_weights():
     assert list(boosting.find_cuts(np.ones(5), np.ones(5), 32)) == []
     cuts = boosting.find_cuts(np.arange(1000.0), np.ones(1000), 32)
     assert len(cuts) == 31 and np.abs(np.diff(cuts) - 1000 / 32).max() <= 1
+
+
+def test_trials_share_their_rows_and_go_on(spark, monkeypatch):
+    """Rows are binned once for all trials, and a trial's first trees are grown once for all rungs."""
+    table = spark.range(2000).selectExpr("id loan_id", "cast(pmod(hash(id, 1), 9) as float) a", "cast(pmod(hash(id, 2), 7) as float) b",
+                                         "int(pmod(hash(id, 1), 9) + pmod(hash(id, 3), 9) > 8) default",
+                                         "if(id % 4 = 0, 'validation', 'train') split")
+    binned, started, bin_rows, boosted = [], [], boosting.bin_rows, boosting.boosted
+    monkeypatch.setattr(boosting, "bin_rows", lambda *x: binned.append(1) or bin_rows(*x))
+    monkeypatch.setattr(boosting, "boosted", lambda rows, plan, start, every: started.append((len(start), plan.trees))
+                        or boosted(rows, plan, start, every))
+    models.halving_search(table, ["a", "b"], 3, (2, 4), 3, space={"depth": (2, 3, False)})
+    assert len(binned) == 1 and sorted(started) == [(0, 2), (0, 2), (0, 2), (2, 4)]
